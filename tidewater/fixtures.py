@@ -127,3 +127,163 @@ def weather_envelopes(events: DataFrame, max_hours: int = 2048) -> DataFrame:
                delivery(F.substring("doc_new", 1, 40), hist, 4)))
     return (d.select(F.explode(deliveries).alias("e")).where(F.col("e").isNotNull())
             .select("e.raw_json", "e.source_url", "e.fetched_at"))
+
+
+# ---------------------------------------------------------------- orders
+
+def order_items(lineitem: DataFrame, max_items: int = 1024) -> DataFrame:
+    """Line items as order item structs, grouped per (order, chunk)."""
+    li = lineitem.select(
+        "l_orderkey",
+        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                   "l_extendedprice", "l_shipdate").alias("__item"),
+        F.struct(F.concat(F.lit("p-"), F.col("l_partkey").cast("string")).alias("product_id"),
+                 F.col("l_quantity").cast("bigint").alias("quantity"),
+                 F.col("l_extendedprice").alias("unit_price")).alias("item"))
+    li = chunk_of(li, ["l_orderkey"], "__item", max_items)
+    return li.groupBy("l_orderkey", "chunk").agg(F.collect_list("item").alias("items"))
+
+
+def orders_nested(orders: DataFrame, lineitem: DataFrame, max_items: int = 1024) -> DataFrame:
+    """Typed nested orders ``(order_id, customer_id, order_date, items
+    array<struct<product_id, quantity, unit_price>>)``.  Items are grouped
+    before the join (one shuffle per side on the order key); orders without
+    line items keep an empty array."""
+    items = order_items(lineitem, max_items)
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    j = o.join(items, o.o_orderkey == items.l_orderkey, "left")
+    empty = F.array().cast("array<struct<product_id:string,quantity:bigint,unit_price:double>>")
+    return j.select(
+        F.concat(F.lit("o-"), F.col("o_orderkey").cast("string")).alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("order_date"),
+        F.coalesce(F.col("items"), empty).alias("items"))
+
+
+# ---------------------------------------------------------------- playlists
+
+def playlists_nested(supplier: DataFrame, lineitem: DataFrame, part: DataFrame,
+                     max_tracks: int = 1024) -> DataFrame:
+    """Typed nested playlists: a supplier is a playlist, its line items are
+    tracks titled by the part name; ``(playlist_id, owner_id, title,
+    tracks array<struct<track_id, title, duration_sec>>)``."""
+    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    p = part.select("p_partkey", "p_name")
+    t = li.join(p, li.l_partkey == p.p_partkey).select(
+        "l_suppkey",
+        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey").alias("__item"),
+        F.struct(F.concat(F.lit("t-"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                          F.col("l_linenumber").cast("string")).alias("track_id"),
+                 F.col("p_name").alias("title"),
+                 (F.col("l_quantity") * 10).cast("bigint").alias("duration_sec")).alias("track"))
+    t = chunk_of(t, ["l_suppkey"], "__item", max_tracks)
+    g = t.groupBy("l_suppkey", "chunk").agg(F.collect_list("track").alias("tracks"))
+    s = supplier.select("s_suppkey", "s_name", "s_nationkey")
+    return s.join(g, s.s_suppkey == g.l_suppkey).select(
+        F.concat(F.lit("pl-"), F.col("s_suppkey").cast("string")).alias("playlist_id"),
+        F.col("s_nationkey").cast("bigint").alias("owner_id"),
+        F.col("s_name").alias("title"), "tracks")
+
+
+# ---------------------------------------------------------------- sessions
+
+def sessions_documents(events: DataFrame, max_events: int = 1024,
+                       max_sessions: int = 256) -> DataFrame:
+    """``sessions_json(raw)``: one JSON user document
+    ``{user_id, sessions:[{session_id, events:[{event_type, ts}]}]}`` per
+    (user, chunk); a session is a user's UTC day.  Every third user's
+    documents are wrapped in a one-element array (the sample file's shape).
+    Times are text with 6 fraction digits (``to_json`` would cut them)."""
+    ts = F.col("ts").cast("timestamp")
+    e = events.select(
+        "user_id", "event_id", F.to_date(ts).alias("day"),
+        F.struct(F.col("event_type"),
+                 F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts")).alias("ev"))
+    e = chunk_of(e, ["user_id", "day"], "event_id", max_events)
+    s = e.groupBy("user_id", "day", "chunk").agg(F.collect_list("ev").alias("events"))
+    s = s.select("user_id", F.xxhash64("day", "chunk").alias("__sess"),
+                 F.struct(F.concat(F.lit("s-"), F.col("user_id").cast("string"), F.lit("-"),
+                                   F.date_format("day", "yyyyMMdd")).alias("session_id"),
+                          F.col("events")).alias("session"))
+    s = chunk_of(s, ["user_id"], "__sess", max_sessions)
+    u = s.groupBy("user_id", "chunk").agg(F.collect_list("session").alias("sessions"))
+    doc = F.to_json(F.struct(F.col("user_id"), F.col("sessions")))
+    return u.select(F.when(F.pmod("user_id", F.lit(3)) == 0, F.concat(F.lit("["), doc, F.lit("]")))
+                    .otherwise(doc).alias("raw"))
+
+
+# ---------------------------------------------------------------- customers
+
+def customer_objects(customer: DataFrame) -> DataFrame:
+    """customer -> the fields of a customer JSON object plus its block."""
+    return customer.select(
+        "c_custkey",
+        F.col("c_custkey").alias("id"),
+        F.concat(F.col("c_mktsegment"), F.lit(" o'"), F.lower("c_name")).alias("name"),
+        F.concat(F.replace("c_name", F.lit("#"), F.lit(".")), F.lit("@Example.COM")).alias("email"),
+        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("c_custkey", F.lit(365)).cast("int")),
+                      "yyyy-MM-dd").alias("signup_date"))
+
+
+def customer_documents(customer: DataFrame, block: int = 100) -> DataFrame:
+    """Clean envelopes: JSON arrays of ``block`` customers ordered by key
+    (``raw_json, source, fetched_at``)."""
+    c = customer_objects(customer).withColumn("blk", F.floor(F.col("c_custkey") / block))
+    g = c.groupBy("blk").agg(F.array_sort(F.collect_list(
+        F.struct("id", "name", "email", "signup_date"))).alias("arr"))
+    return g.select(F.to_json("arr").alias("raw_json"),
+                    F.concat(F.lit("data/customers_"), F.col("blk").cast("string"), F.lit(".json")).alias("source"),
+                    F.lit("2024-02-01 00:00:00").cast("timestamp").alias("fetched_at"))
+
+
+def customer_documents_dirty(customer: DataFrame, block: int = 100) -> DataFrame:
+    """Envelopes for the tolerant path.  By ``c_custkey % 10``:
+    1 -> document whose root is the single object, 2 -> id ``"x<id>"``
+    (non-numeric), 3 -> bad date ``2024-13-45``, 4 -> name key missing,
+    5 -> id as numeric text; the rest in array blocks that also carry the
+    non-object items ``42``, ``"oops"``, ``null`` and ``[1]``.  Every 7th
+    block adds a NULL document, unparsable text, a scalar root and ``[]``."""
+    c = customer_objects(customer)
+    k = F.pmod("c_custkey", F.lit(10))
+    idtxt = F.col("id").cast("string")
+    obj = F.to_json(F.struct(
+        F.when(k == 2, F.parse_json(F.concat(F.lit('"x'), idtxt, F.lit('"'))))
+         .when(k == 5, F.parse_json(F.concat(F.lit('"'), idtxt, F.lit('"'))))
+         .otherwise(F.col("id").cast("variant")).alias("id"),
+        F.when(k != 4, F.col("name")).alias("name"),
+        F.col("email"),
+        F.when(k == 3, F.lit("2024-13-45")).otherwise(F.col("signup_date")).alias("signup_date")))
+    c = c.select("c_custkey", k.alias("k"), obj.alias("obj"),
+                 F.floor(F.col("c_custkey") / block).alias("blk"))
+    single = c.where(F.col("k") == 1).select(
+        F.col("obj").alias("raw_json"),
+        F.concat(F.lit("data/customer_"), F.col("c_custkey").cast("string"), F.lit(".json")).alias("source"))
+    arrays = c.where(F.col("k") != 1).groupBy("blk").agg(
+        F.array_join(F.array_sort(F.collect_list("obj")), ",").alias("items"))
+    arrays = arrays.select(
+        F.concat(F.lit("["), F.col("items"), F.lit(',42,"oops",null,[1]]')).alias("raw_json"),
+        F.concat(F.lit("data/customers_"), F.col("blk").cast("string"), F.lit(".json")).alias("source"),
+        F.col("blk"))
+    junk_docs = F.array(*[F.lit(x) for x in (None, "{not json", "123", "[]")]).cast("array<string>")
+    junk = arrays.where(F.pmod("blk", F.lit(7)) == 0).select(
+        F.explode(junk_docs).alias("raw_json"),
+        F.concat(F.lit("data/junk_"), F.col("blk").cast("string"), F.lit(".json")).alias("source"))
+    ts = F.lit("2024-02-01 00:00:00").cast("timestamp").alias("fetched_at")
+    return (arrays.select("raw_json", "source", ts)
+            .unionByName(single.select("raw_json", "source", ts))
+            .unionByName(junk.select("raw_json", "source", ts)))
+
+
+def customers_semi_raw(customer: DataFrame, deliveries: int = 3) -> DataFrame:
+    """Semi-raw customers ``(customer_id, name, email, signup_date string,
+    loaded_at)`` delivered ``deliveries`` times with rising ``loaded_at``;
+    delivery ``d`` names the customer ``<name> v<d>``."""
+    c = customer_objects(customer)
+    d = F.explode(F.sequence(F.lit(1), F.lit(deliveries))).alias("d")
+    x = c.select("*", d)
+    return x.select(
+        F.col("id").alias("customer_id"),
+        F.concat(F.col("name"), F.lit(" v"), F.col("d").cast("string")).alias("name"),
+        F.col("email"), F.col("signup_date"),
+        (F.lit("2024-02-01 00:00:00").cast("timestamp")
+         + F.make_interval(hours=F.col("d"))).alias("loaded_at"))
