@@ -287,3 +287,40 @@ def customers_semi_raw(customer: DataFrame, deliveries: int = 3) -> DataFrame:
         F.col("email"), F.col("signup_date"),
         (F.lit("2024-02-01 00:00:00").cast("timestamp")
          + F.make_interval(hours=F.col("d"))).alias("loaded_at"))
+
+
+# ---------------------------------------------------------------- files
+
+def write_documents(spark: SparkSession, docs: DataFrame, root: str) -> str:
+    """Write ``docs(name, text)`` as one file per row named ``root/<name>``
+    (a landing folder of JSON documents).  Spark writes the texts in
+    parallel; the driver then only renames the part files (metadata)."""
+    staging = f"{root}/_staging"
+    docs.repartition("name").write.mode("overwrite").partitionBy("name").text(staging)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(conf)
+    for st in fs.globStatus(path(f"{staging}/name=*/part-*")):
+        name = st.getPath().getParent().getName()[len("name="):]
+        fs.rename(st.getPath(), path(f"{root}/{jvm.java.net.URLDecoder.decode(name, 'UTF-8')}"))
+    fs.delete(path(staging), True)
+    return root
+
+
+def nation_documents(nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Landing documents: one JSON array of nations per region
+    (``nations_<REGION>.json``), one object file per nation
+    (``nation_<key>.json``) and one broken file (``broken.json``)."""
+    r = region.select("r_regionkey", "r_name")
+    n = nation.select("n_nationkey", "n_name", "n_regionkey")
+    per_region = (n.groupBy("n_regionkey")
+                  .agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name", "n_regionkey"))).alias("a"))
+                  .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+                  .select(F.concat(F.lit("nations_"), F.col("r_name"), F.lit(".json")).alias("name"),
+                          F.to_json("a").alias("text")))
+    per_nation = n.select(F.concat(F.lit("nation_"), F.col("n_nationkey").cast("string"), F.lit(".json")).alias("name"),
+                          F.to_json(F.struct("n_nationkey", "n_name", "n_regionkey")).alias("text"))
+    broken = r.where(F.col("r_regionkey") == 0).select(
+        F.lit("broken.json").alias("name"), F.lit('{"n_nationkey": 1, "n_name": ').alias("text"))
+    return per_region.unionByName(per_nation).unionByName(broken)
