@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (NUMERIC, date_of, epoch_to_timestamp, json_query_array, json_value,
                          location_key, md5_hex, safe_cast, safe_parse, strict_cast)
-from ..operators import deduplicate, where_like
+from ..operators import deduplicate, group_stats, where_like
 
 HOURLY_COLUMNS = ["city", "country", "lat", "lon", "day_date", "time_epoch", "observed_at",
                   "temp_c", "humidity", "condition_text", "source_url", "fetched_at",
@@ -72,10 +72,8 @@ def fct_weather_daily(hourly: DataFrame) -> DataFrame:
     """
     h = hourly.select("city", "country", "lat", "lon",
                       date_of("observed_at").alias("day_utc"), "temp_c")
-    g = h.groupBy(location_key("lat", "lon", "day_utc").alias("weather_day_key"),
-                  "city", "country", "lat", "lon", "day_utc")
-    return g.agg(
-        F.count(F.lit(1)).alias("hours_count"),
-        F.round(F.avg("temp_c").cast("double"), 6).alias("avg_temp_c"),
-        F.min("temp_c").cast("double").alias("min_temp_c"),
-        F.max("temp_c").cast("double").alias("max_temp_c"))
+    h = h.withColumn("weather_day_key", location_key("lat", "lon", "day_utc"))
+    g = group_stats(h, ["weather_day_key", "city", "country", "lat", "lon", "day_utc"], "temp_c")
+    return g.select("weather_day_key", "city", "country", "lat", "lon", "day_utc",
+                    F.col("count").alias("hours_count"), F.col("avg").alias("avg_temp_c"),
+                    F.col("min").alias("min_temp_c"), F.col("max").alias("max_temp_c"))
