@@ -324,3 +324,18 @@ def nation_documents(nation: DataFrame, region: DataFrame) -> DataFrame:
     broken = r.where(F.col("r_regionkey") == 0).select(
         F.lit("broken.json").alias("name"), F.lit('{"n_nationkey": 1, "n_name": ').alias("text"))
     return per_region.unionByName(per_nation).unionByName(broken)
+
+
+def land_weather_deliveries(spark: SparkSession, events: DataFrame, landing: str,
+                            files_per_delivery: int = 2) -> int:
+    """Land the weather envelopes as parquet files in delivery order that is
+    *not* fetch order: the newest history copies first, then the stale
+    copies, then forecast calls and broken documents.  Returns the number of
+    files per delivery (use it as ``maxFilesPerTrigger``)."""
+    env = weather_envelopes(events)
+    staged = f"{landing}_staged"
+    env.withColumn("kind", F.hour("fetched_at")).write.mode("overwrite").partitionBy("kind").parquet(staged)
+    for kinds in ((2,), (1,), (3, 4)):
+        part = spark.read.parquet(staged).where(F.col("kind").isin(*kinds)).drop("kind")
+        part.repartition(files_per_delivery).write.mode("append").parquet(landing)
+    return files_per_delivery
