@@ -39,7 +39,10 @@ def _node(v: ColumnOrName, path: str) -> Column:
 def json_kind(v: ColumnOrName) -> Column:
     """Upper-case top-level kind of a VARIANT: OBJECT, ARRAY, STRING, BIGINT,
     DECIMAL, DOUBLE, BOOLEAN, VOID (JSON null) ... NULL when absent."""
-    return F.regexp_extract(F.schema_of_variant(_c(v)), r"^([A-Z]+)", 1)
+    # the leading type name of the schema text, without a regex:
+    # 'OBJECT<a: BIGINT>' -> 'OBJECT', 'DECIMAL(2,1)' -> 'DECIMAL'
+    schema = F.schema_of_variant(_c(v))
+    return F.substring_index(F.substring_index(schema, "<", 1), "(", 1)
 
 
 def json_value(v: ColumnOrName, path: str = "$") -> Column:
