@@ -322,3 +322,31 @@ def enrich_source_url(spark, sf_dir):
     url = requests.source_url(F.concat(F.lit("p"), k.cast("string")), F.lit("2024-01-01"))
     b = p.select("page_id", body.alias("body"), url.alias("source_url"))
     return requests.with_source_url(b, "body", "source_url").select("page_id", "body")
+
+
+@register("raw_weather_load", """
+SELECT DISTINCT
+  'https://api.weatherapi.com/v1/history.json?q=' ||
+    CAST(CAST((user_id % 1200) - 600 AS DOUBLE) / 10.0 AS VARCHAR) || ',' ||
+    CAST(CAST(((user_id // 1200) % 3600) - 1800 AS DOUBLE) / 10.0 AS VARCHAR) || '&dt=' ||
+    strftime(CAST(ts AS DATE), '%Y-%m-%d') AS source_url,
+  'City ' || CAST(user_id AS VARCHAR) AS city,
+  TIMESTAMP '2024-02-01 06:00:00' AS fetched_at
+FROM events""")
+def raw_weather_load(spark, sf_dir):
+    """P-15: landed weather documents + their requests -> envelopes with
+    secret-free source URLs, appended idempotently (a retry adds nothing;
+    documents sharing one request and fetch time share one row id)."""
+    docs = fx.weather_documents(_t(spark, sf_dir, "events"))
+    reqs = docs.select(
+        F.concat(fx.user_lat(F.col("user_id")).cast("string"), F.lit(","),
+                 fx.user_lon(F.col("user_id")).cast("string")).alias("location"),
+        F.date_format("day", "yyyy-MM-dd").alias("date"),
+        F.col("doc_new").alias("payload"))
+    target = scratch_path(spark, "raw_weather_load")
+    raw_load.load_weather(spark, reqs, target, FETCHED_AT)
+    raw_load.load_weather(spark, reqs, target, FETCHED_AT)
+    out = spark.read.parquet(target)
+    from ..functions import json_value, safe_parse
+    return out.select("source_url", json_value(safe_parse("raw_json"), "$.location.name").alias("city"),
+                      "fetched_at")
