@@ -61,16 +61,30 @@ def append_plain(df: DataFrame, path: str, partition_by=None) -> None:
     w.parquet(path)
 
 
+MAX_PRUNE_VALUES = 1000
+
+
 def new_rows(spark: SparkSession, batch: DataFrame, path: str, key: str = "row_id",
              part: str = "fetched_date") -> DataFrame:
     """Rows of ``batch`` not yet in the table at ``path``: the batch is
     de-duplicated on ``key`` and anti-joined against the table on
-    ``(part, key)``; the join on the partition column lets dynamic
-    partition pruning skip every fetch day the batch does not touch."""
+    ``(part, key)``.
+
+    Only the target partitions the batch touches are read: the batch's
+    distinct fetch days (a handful of values, probed with a bounded
+    ``limit``) become a static partition filter on the target scan.  A batch
+    spanning more than ``MAX_PRUNE_VALUES`` days falls back to a semi-join
+    on the day instead of shipping the list.
+    """
     b = batch.dropDuplicates([part, key])
     if not _exists(spark, path):
         return b
     existing = spark.read.parquet(path).select(part, key)
+    days = [r[0] for r in b.select(part).distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
+    if len(days) <= MAX_PRUNE_VALUES:
+        existing = existing.where(F.col(part).isin(days))
+    else:
+        existing = existing.join(b.select(part).distinct(), part, "left_semi")
     return b.join(existing, [part, key], "left_anti")
 
 

@@ -25,6 +25,7 @@ from ..plans.weather import HOURLY_COLUMNS, dedup_hours, fct_weather_daily, flat
 from ..sinks.tables import _exists, append_idempotent, with_row_id
 
 ENVELOPE_SCHEMA = "raw_json string, source_url string, fetched_at timestamp"
+MAX_TOUCHED_DAYS = 10_000
 
 
 def read_envelopes(spark: SparkSession, landing: str, fmt: str = "parquet",
@@ -58,14 +59,18 @@ def start_flatten(spark: SparkSession, raw_table: str, target: str, checkpoint:
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
-def latest(spark: SparkSession, root: str, below: int | None = None) -> DataFrame | None:
+def latest(spark: SparkSession, root: str, below: int | None = None,
+           days: list | None = None) -> DataFrame | None:
     """Rows of the newest version of every day stored under ``root``
-    (optionally only versions ``< below``)."""
+    (optionally only versions ``< below`` and only the given ``days``; both
+    are partition filters, so other partitions are not read)."""
     if not _exists(spark, root):
         return None
     df = spark.read.option("basePath", root).parquet(root)
     if below is not None:
         df = df.where(F.col("v") < below)
+    if days is not None:
+        df = df.where(F.col("day_utc").isin(days))
     newest = df.select("day_utc", "v").distinct().groupBy("day_utc").agg(F.max("v").alias("v"))
     return df.join(newest, ["day_utc", "v"], "left_semi").drop("v")
 
@@ -84,11 +89,18 @@ class NewestWinsStore:
         flat = flat.withColumn("day_utc", F.to_date("observed_at"))
         if flat.isEmpty():          # nothing but filtered or broken documents
             return
-        days = flat.select("day_utc").distinct()
-        cur = latest(spark, self.hourly_root, below=batch_id)
+        # the touched days: a bounded list (days of one micro-batch) that
+        # becomes a partition filter on the stored versions
+        # (beyond MAX_TOUCHED_DAYS an exact semi-join on the days is used)
+        touched = flat.select("day_utc").distinct()
+        days = [r[0] for r in touched.limit(MAX_TOUCHED_DAYS + 1).collect()]
+        many = len(days) > MAX_TOUCHED_DAYS
+        cur = latest(spark, self.hourly_root, below=batch_id, days=None if many else days)
         rows = flat.select(*HOURLY_COLUMNS)
         if cur is not None:
-            rows = cur.join(days, "day_utc", "left_semi").select(*HOURLY_COLUMNS).unionByName(rows)
+            if many:
+                cur = cur.join(touched, "day_utc", "left_semi")
+            rows = cur.select(*HOURLY_COLUMNS).unionByName(rows)
         merged = dedup_hours(rows).withColumn("day_utc", F.to_date("observed_at"))
         out = f"{self.hourly_root}/v={batch_id}"
         merged.write.mode("overwrite").partitionBy("day_utc").parquet(out)
