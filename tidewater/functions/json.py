@@ -69,3 +69,19 @@ def json_text(c: ColumnOrName) -> Column:
     """FN-24 / SNK-1: serialise a struct, array or VARIANT to JSON text.
     Non-ASCII characters are written as they are (no \\u escapes)."""
     return F.to_json(_c(c))
+
+
+# Strict JSON: no single quotes, no NaN/Infinity literals (as parse_json).
+STRICT_JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def parse_shape(text: ColumnOrName, ddl: str) -> Column:
+    """Parse JSON text against a partial *shape* whose leaves are VARIANT,
+    e.g. ``location variant, forecast struct<forecastday: array<variant>>``.
+
+    The fixed outer levels are read by the streaming JSON parser straight
+    into structs (no full VARIANT to build and walk again); everything below
+    stays VARIANT, so path functions keep their exact semantics.  A level
+    with the wrong JSON type (object where an array is expected, ...) is
+    NULL, unparsable text gives NULLs, like ``safe_parse``."""
+    return F.from_json(_c(text), ddl, STRICT_JSON_OPTIONS)

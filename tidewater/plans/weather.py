@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (NUMERIC, date_of, epoch_to_timestamp, json_query_array, json_value,
-                         location_key, md5_hex, safe_cast, safe_parse, strict_cast)
+                         location_key, md5_hex, safe_cast, strict_cast)
+from ..functions.json import parse_shape
 from ..operators import deduplicate, group_stats, where_like
 
 HOURLY_COLUMNS = ["city", "country", "lat", "lon", "day_date", "time_epoch", "observed_at",
@@ -19,20 +20,27 @@ HOURLY_ORDER = ["fetched_at desc", "source_url", "temp_c desc", "humidity desc",
                 "condition_text", "city", "country", "day_date"]
 
 
+# The fixed outer shape of a weather document; leaves stay VARIANT.
+WEATHER_SHAPE = "location variant, forecast struct<forecastday: array<variant>>"
+
+
 def flatten_weather(raw: DataFrame) -> DataFrame:
     """P-1 up to the dedup: FLT-1 -> FN-1 -> LAT-3 -> FN-3/6/7/9 -> FN-11.
 
-    Each document is parsed once into a VARIANT; location scalars are read
-    before the unnest so they are not re-extracted per hour.
+    Each document is parsed once (``parse_shape``: outer levels typed,
+    leaves VARIANT, same NULL rules as SAFE.PARSE_JSON + JSON_QUERY_ARRAY);
+    location scalars are read before the unnest so they are not
+    re-extracted per hour.
     """
     src = where_like(raw, "source_url", "%history.json%").select(
-        safe_parse("raw_json").alias("j"), "source_url", "fetched_at")
+        parse_shape("raw_json", WEATHER_SHAPE).alias("j"), "source_url", "fetched_at")
+    loc = F.col("j.location")
     docs = src.select(
-        json_value("j", "$.location.name").alias("city"),
-        json_value("j", "$.location.country").alias("country"),
-        strict_cast(json_value("j", "$.location.lat"), "double").alias("lat"),
-        strict_cast(json_value("j", "$.location.lon"), "double").alias("lon"),
-        json_query_array("j", "$.forecast.forecastday").alias("days"),
+        json_value(loc, "$.name").alias("city"),
+        json_value(loc, "$.country").alias("country"),
+        strict_cast(json_value(loc, "$.lat"), "double").alias("lat"),
+        strict_cast(json_value(loc, "$.lon"), "double").alias("lon"),
+        F.col("j.forecast.forecastday").alias("days"),
         "source_url", "fetched_at")
     parents = ["city", "country", "lat", "lon", "source_url", "fetched_at"]
     days = docs.select(*parents, F.explode("days").alias("day"))
