@@ -33,9 +33,11 @@ def require_not_null(df: DataFrame, cols) -> DataFrame:
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """SNK-5: ``CREATE DATABASE IF NOT EXISTS``."""
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
+    """SNK-5: ``CREATE DATABASE IF NOT EXISTS``, stored below the shared
+    folder unless a location is given (never the local default warehouse)."""
+    from ..session import shared_dir
+    location = location or f"{shared_dir(spark)}/warehouse/{name}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
 
 
 def ensure_table(spark: SparkSession, name: str, ddl: str, location: str,

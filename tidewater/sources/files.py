@@ -43,3 +43,11 @@ def table_for(source_col: str = "source", prefix: str = "raw_") -> "F.Column":
     """SRC-3 + FN-23: target table name from the file's base name:
     ``prefix + basename(source).replace('.json', '')``."""
     return F.concat(F.lit(prefix), strip_json_suffix(basename(source_col)))
+
+
+def scan_json_array(spark: SparkSession, glob: str, loaded_at=None) -> DataFrame:
+    """SRC-4: JSON-array files -> one semi-raw customer row per object item
+    (roots that are not arrays give nothing, non-object items are skipped,
+    missing keys default to ``0`` / ``''``), stamped with ``loaded_at``."""
+    from ..plans.customers import semi_raw_rows
+    return semi_raw_rows(scan_json_files(spark, glob), loaded_at)
