@@ -96,7 +96,7 @@ def _nation_envelopes(spark, sf_dir, fetched_at=FETCHED_AT):
 
 
 NATION_ENVELOPE_SQL = f"""
-  SELECT to_json(struct_pack(n_nationkey := n_nationkey, n_name := n_name, n_regionkey := n_regionkey)) AS raw_json,
+  SELECT to_json(struct_pack(n_nationkey := n_nationkey, n_name := n_name, n_regionkey := n_regionkey))::VARCHAR AS raw_json,
          'https://api.weather.example/v1/history.json?q=' || n_name AS source_url,
          TIMESTAMP '{FETCHED_AT}' AS fetched_at
   FROM nation

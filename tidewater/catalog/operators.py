@@ -22,7 +22,7 @@ def _t(spark, sf_dir, name):
 
 @register("row_number_latest", """
 SELECT o_custkey, o_orderkey,
-  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS INTEGER) AS rn
 FROM orders""")
 def row_number_latest(spark, sf_dir):
     """WIN-1: ROW_NUMBER per customer, newest order first."""
@@ -128,7 +128,7 @@ def _item_mix(nation):
             .agg(F.concat(F.lit("["), F.array_join(F.collect_list(item), ","), F.lit("]")).alias("doc")))
 
 
-@register("filter_objects", "SELECT n_nationkey AS k FROM nation WHERE n_nationkey % 6 = 0")
+@register("filter_objects", "SELECT CAST(n_nationkey AS BIGINT) AS k FROM nation WHERE n_nationkey % 6 = 0")
 def filter_objects(spark, sf_dir):
     """FLT-5: only JSON objects survive (numbers, strings, arrays, null and a
     string holding object text do not)."""
