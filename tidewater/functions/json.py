@@ -27,11 +27,6 @@ def strict_parse(text: ColumnOrName) -> Column:
     return F.parse_json(_c(text))
 
 
-def as_variant(c: ColumnOrName) -> Column:
-    """Accept VARIANT or JSON text; text is parsed tolerantly."""
-    return _c(c)
-
-
 def _node(v: ColumnOrName, path: str) -> Column:
     return F.try_variant_get(_c(v), path, "variant")
 

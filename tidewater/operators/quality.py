@@ -45,18 +45,46 @@ def failures(df: DataFrame, t: ColumnTest) -> DataFrame:
     raise ValueError(f"unknown test {t.test}")
 
 
+def _failing(t: ColumnTest):
+    """Row-level failure predicate of a not_null / accepted_values test."""
+    c = F.col(t.column)
+    if t.test == "not_null":
+        return c.isNull()
+    return c.isNotNull() & ~c.isin(list(t.values))
+
+
 def run_suite(models: dict, tests: list) -> DataFrame:
     """DQ-4: one row per (model, column, test) with the number of failing
     records (for ``unique``/``accepted_values``: the rows carrying a failing
-    value) and a pass/fail status."""
+    value) and a pass/fail status.
+
+    One scan per model answers all its row-level tests (not_null,
+    accepted_values) with conditional counts; each ``unique`` test adds one
+    partially aggregated group-by.  No test re-reads a model on its own.
+    """
     parts = []
-    for t in tests:
-        f = failures(models[t.model], t)
-        n = F.count(F.lit(1)) if t.test == "not_null" else F.sum("n_records")
-        parts.append(f.agg(F.coalesce(n, F.lit(0)).cast("bigint").alias("failures"))
-                     .select(F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
-                             F.lit(t.test).alias("test"), "failures"))
+    by_model: dict = {}
+    for i, t in enumerate(tests):
+        by_model.setdefault(t.model, []).append((i, t))
+    for model, items in by_model.items():
+        df = models[model]
+        row_tests = [(i, t) for i, t in items if t.test in ("not_null", "accepted_values")]
+        if row_tests:
+            counts = df.agg(*[F.count(F.when(_failing(t), 1)).alias(f"t{i}") for i, t in row_tests])
+            stack = ", ".join(f"{i}, t{i}" for i, _ in row_tests)
+            parts.append(counts.selectExpr(f"stack({len(row_tests)}, {stack}) AS (idx, failures)"))
+        for i, t in items:
+            if t.test == "unique":
+                dup = unique(df, t.column).agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))
+                parts.append(dup.select(F.lit(i).alias("idx"), "failures"))
+            elif t.test not in ("not_null", "accepted_values"):
+                raise ValueError(f"unknown test {t.test}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    spark = out.sparkSession
+    meta = spark.createDataFrame([(i, t.model, t.column, t.test) for i, t in enumerate(tests)],
+                                 "idx int, model string, column_name string, test string")
+    res = meta.join(F.broadcast(out.withColumn("idx", F.col("idx").cast("int"))), "idx")
+    return res.select("model", "column_name", "test", F.col("failures").cast("bigint").alias("failures"),
+                      F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"))
