@@ -84,16 +84,28 @@ class NewestWinsStore:
         self.daily_root = f"{root}/daily"
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
-        spark = self.spark
+        from pyspark import StorageLevel
         flat = flatten_weather(batch.select("raw_json", "source_url", "fetched_at"))
         flat = flat.withColumn("day_utc", F.to_date("observed_at"))
-        if flat.isEmpty():          # nothing but filtered or broken documents
-            return
+        # parsed once per micro-batch: the day probe and the merge reuse it
+        # (blocks lost with an executor are recomputed from the replayable
+        # source)
+        flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._merge(flat, batch_id)
+        finally:
+            flat.unpersist()
+
+    def _merge(self, flat: DataFrame, batch_id: int) -> None:
+        spark = self.spark
         # the touched days: a bounded list (days of one micro-batch) that
-        # becomes a partition filter on the stored versions
+        # becomes a partition filter on the stored versions; no days means
+        # nothing but filtered or broken documents arrived
         # (beyond MAX_TOUCHED_DAYS an exact semi-join on the days is used)
         touched = flat.select("day_utc").distinct()
         days = [r[0] for r in touched.limit(MAX_TOUCHED_DAYS + 1).collect()]
+        if not days:
+            return
         many = len(days) > MAX_TOUCHED_DAYS
         cur = latest(spark, self.hourly_root, below=batch_id, days=None if many else days)
         rows = flat.select(*HOURLY_COLUMNS)
