@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.weather import HOURLY_COLUMNS, dedup_hours, fct_weather_daily, flatten_weather
-from ..sinks.tables import _exists, append_idempotent, with_row_id
+from ..sinks.tables import _exists, append_idempotent, with_row_id, write_partitioned
 
 ENVELOPE_SCHEMA = "raw_json string, source_url string, fetched_at timestamp"
 MAX_TOUCHED_DAYS = 10_000
@@ -115,11 +115,11 @@ class NewestWinsStore:
             rows = cur.select(*HOURLY_COLUMNS).unionByName(rows)
         merged = dedup_hours(rows).withColumn("day_utc", F.to_date("observed_at"))
         out = f"{self.hourly_root}/v={batch_id}"
-        merged.write.mode("overwrite").partitionBy("day_utc").parquet(out)
+        write_partitioned(merged, out, "day_utc", ("lat", "lon"), dynamic=False)
         # the mart of the touched days, from the version just written
         written = spark.read.schema(merged.schema).parquet(out)
         daily = fct_weather_daily(written.select(*HOURLY_COLUMNS))
-        daily.write.mode("overwrite").partitionBy("day_utc").parquet(f"{self.daily_root}/v={batch_id}")
+        write_partitioned(daily, f"{self.daily_root}/v={batch_id}", "day_utc", ("city",), dynamic=False)
 
     def start(self, stream: DataFrame, checkpoint: str, available_now: bool = True):
         w = (stream.writeStream.foreachBatch(self.merge)
