@@ -3,7 +3,7 @@
 Fixture packing (flat driver tables -> nested JSON documents) runs once and
 is written to the shared folder; it is reported apart (``pack_*``).  Each
 query is then timed end to end from the packed inputs with a ``noop`` sink
-(full execution, nothing collected): warm session, median of 3.
+(full execution, nothing collected): warm session, median of $BENCH_REPS (default 5).
 Prints ONE JSON line.
 """
 
@@ -20,11 +20,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tidewater import fixtures as fx  # noqa: E402
 from tidewater.plans import customers as cu  # noqa: E402
 from tidewater.plans import nested, weather  # noqa: E402
-from tidewater.session import build_session, scratch_path  # noqa: E402
+from tidewater.session import build_session, input_bytes, scratch_path, size_for_input  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-REPS = int(os.environ.get("BENCH_REPS", "3"))
+REPS = int(os.environ.get("BENCH_REPS", "5"))
 
 
 def run(df) -> float:
@@ -59,6 +59,7 @@ def main():
     pack_times = {f"pack_{k}": round(timed_write(df, f"{root}/{k}", CPUS * 4), 3)
                   for k, df in packed.items()}
     p = lambda n: spark.read.parquet(f"{root}/{n}")
+    shuffle_partitions = size_for_input(spark, input_bytes(spark, *[f"{root}/{k}" for k in packed]))
 
     queries = {
         "weather_hourly": lambda: weather.stg_weather_hourly(p("weather_raw")),
@@ -92,7 +93,7 @@ def main():
     sf = os.path.basename(SF_DIR).replace("sf", "")
     print(json.dumps({"metric": "flatten_and_mart_total_median_sec", "value": total, "unit": "sec",
                       "queries": times, "pack": pack_times, "streaming": streaming, "sf": float(sf) if sf else sf,
-                      "cpus": CPUS, "reps": REPS}))
+                      "cpus": CPUS, "reps": REPS, "shuffle_partitions": shuffle_partitions}))
     spark.stop()
 
 

@@ -96,3 +96,30 @@ def ensure_local_dir(path: str) -> str:
     if "://" not in p:
         os.makedirs(p, exist_ok=True)
     return path
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_for_input(spark: SparkSession, total_bytes: int, expansion: float = 4.0,
+                   target_partition_bytes: int = 256 << 20, min_partitions: int | None = None) -> int:
+    """Size the shuffle for an input of ``total_bytes`` on disk.
+
+    Columnar, compressed input grows when parsed JSON documents are
+    flattened into rows (``expansion``); the initial shuffle gets enough
+    partitions for ``target_partition_bytes`` each and AQE coalesces the
+    small ones at runtime, so one setting works from a laptop to a
+    1000-executor cluster.  Returns the partition count it set.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = max(min_partitions or 2 * cores, -(-int(total_bytes * expansion) // target_partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
