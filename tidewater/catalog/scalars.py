@@ -77,8 +77,8 @@ SELECT c_custkey AS customer_id, DATE '2024-01-01' + CAST(c_custkey % 365 AS INT
        c_acctbal AS acctbal FROM customer""")
 def cast_strict(spark, sf_dir):
     """FN-6: strict casts of text to BIGINT, DATE, DOUBLE."""
-    c = fx.customer_objects(_t(spark, sf_dir, "customer")).join(
-        _t(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), "c_custkey")
+    c = _t(spark, sf_dir, "customer")
+    c = fx.customer_objects(c, extra=["c_acctbal"])
     return c.select(fn.strict_cast(F.col("id").cast("string"), "bigint").alias("customer_id"),
                     fn.strict_cast("signup_date", "date").alias("signup"),
                     fn.strict_cast(F.col("c_acctbal").cast("string"), "double").alias("acctbal"))

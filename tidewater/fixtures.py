@@ -214,10 +214,11 @@ def sessions_documents(events: DataFrame, max_events: int = 1024,
 
 # ---------------------------------------------------------------- customers
 
-def customer_objects(customer: DataFrame) -> DataFrame:
-    """customer -> the fields of a customer JSON object plus its block."""
+def customer_objects(customer: DataFrame, extra=()) -> DataFrame:
+    """customer -> the fields of a customer JSON object (plus ``extra``
+    columns passed through)."""
     return customer.select(
-        "c_custkey",
+        "c_custkey", *extra,
         F.col("c_custkey").alias("id"),
         F.concat(F.col("c_mktsegment"), F.lit(" o'"), F.lower("c_name")).alias("name"),
         F.concat(F.replace("c_name", F.lit("#"), F.lit(".")), F.lit("@Example.COM")).alias("email"),

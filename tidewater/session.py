@@ -9,11 +9,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every tidewater job relies on: UTC time, ANSI casts, AQE for
-# runtime re-planning (partition coalescing, skew-join splitting, runtime
-# broadcast conversion based on measured shuffle sizes).
+# runtime re-planning (partition coalescing, skew-join splitting).  Joins are
+# never broadcast on a planner *estimate*; AQE broadcasts a side only after
+# its shuffle stage has run and its real size is measured below the
+# adaptive threshold.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
