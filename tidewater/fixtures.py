@@ -1,10 +1,10 @@
 """Pack the flat driver tables into the nested JSON shapes the reference
 ingests.  Every packer is a Spark job over the whole input table.
 
-Groups (a user's day, an order's items, ...) are split into chunks of at
-most ``max_items`` items: the chunk is a hash of the item's own key modulo
-the number of chunks the group needs, so a huge group is spread over many
-documents and many tasks instead of one.
+Groups (a user's day, an order's items, ...) are split into chunks of
+about ``max_items`` items (hash-balanced: the chunk is a hash of the item's
+own key modulo ``ceil(group size / max_items)``), so a huge group is spread
+over many documents and many tasks instead of one.
 """
 
 from __future__ import annotations
@@ -23,18 +23,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def chunk_of(df: DataFrame, group: list, item_key: str, max_items: int) -> DataFrame:
-    """Add ``chunk``: ``pmod(xxhash64(item_key), ceil(n_group / max_items))``.
+    """Add ``chunk``: ``pmod(xxhash64(item_key), ceil(n_group / max_items))``
+    (chunks hold ``max_items`` items on average).
 
     The group sizes come from a partial aggregate (one row per group), joined
     back on the group key; AQE turns that join into a broadcast when the
     measured size of the counts is small and splits skewed partitions
-    otherwise.
+    otherwise.  The result is explicitly hash-partitioned on
+    ``(group..., chunk)``: without it Spark would reuse the join's
+    partitioning on the group key for the per-chunk aggregation and keep a
+    hot group in one task (and AQE could not split the skewed join).
     """
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_items)))
     return (df.join(counts, group)
             .withColumn("chunk", F.pmod(F.xxhash64(item_key), n_chunks).cast("int"))
-            .drop("__n"))
+            .drop("__n")
+            .repartition(*group, "chunk"))
 
 
 def user_lat(user) -> "F.Column":

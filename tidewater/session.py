@@ -39,13 +39,14 @@ def build_session(master: str | None = None, app_name: str = "tidewater",
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    configure(spark)
+    configure(spark, overrides=extra)
     return spark
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to an existing session (driver-provided)."""
-    for k, v in SESSION_DEFAULTS.items():
+def configure(spark: SparkSession, overrides: dict | None = None) -> SparkSession:
+    """Apply the runtime SQL settings to an existing session (driver-provided);
+    ``overrides`` win over the defaults."""
+    for k, v in {**SESSION_DEFAULTS, **(overrides or {})}.items():
         if k == "spark.ui.enabled":
             continue
         try:
