@@ -91,7 +91,7 @@ def test_customers_strict_and_signups(spark, landing):
     c = cu.stg_customers(env)
     got = {r.customer_id: (r.customer_name, r.email, str(r.signup_date)) for r in c.collect()}
     assert got[1] == ("Ava Nilsson", "ava.nilsson@example.com", "2025-08-20")
-    days = cu.int_customer_signups(c).collect()
+    days = cu.int_customer_signups(c).orderBy("signup_date").collect()   # ordered at read
     assert [(str(r.signup_date), r.daily_signups) for r in days] == [
         ("2025-08-20", 1), ("2025-08-22", 1), ("2025-08-23", 1), ("2025-08-24", 1)]
 

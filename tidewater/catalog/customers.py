@@ -74,8 +74,9 @@ WITH o AS ({CUSTOMER_OBJECTS})
 SELECT CAST(signup_date AS DATE) AS signup_date, count(DISTINCT id) AS daily_signups
 FROM o GROUP BY 1 ORDER BY 1""")
 def daily_signups(spark, sf_dir):
-    """P-8 over P-3."""
-    return cu.int_customer_signups(cu.stg_customers(fx.customer_documents(_customer(spark, sf_dir))))
+    """P-8 over P-3, ordered at read (SRT-1)."""
+    docs = fx.customer_documents(_customer(spark, sf_dir))
+    return cu.int_customer_signups(cu.stg_customers(docs)).orderBy("signup_date")
 
 
 def _customer_landing(spark, sf_dir):
