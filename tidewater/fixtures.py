@@ -108,8 +108,9 @@ def weather_envelopes(events: DataFrame, max_hours: int = 2048) -> DataFrame:
     """Raw weather envelopes ``(raw_json, source_url, fetched_at)``:
     every document is delivered twice (stale copy 1h after the day ends,
     true copy 2h after), plus a newer forecast call with bogus temperatures
-    (must be filtered out) and, for every 50th user, a truncated unparsable
-    history document fetched last (must vanish)."""
+    (must be filtered out) and, for every 50th user, a corrupted copy of the
+    whole history document (the colon after ``"forecast"`` removed, so it
+    does not parse) fetched last (must vanish)."""
     d = weather_documents(events, max_hours)
     q = F.concat(F.lit("?q="), user_lat(F.col("user_id")).cast("string"), F.lit(","),
                  user_lon(F.col("user_id")).cast("string"), F.lit("&dt="),
@@ -129,7 +130,7 @@ def weather_envelopes(events: DataFrame, max_hours: int = 2048) -> DataFrame:
         delivery(F.col("doc_new"), hist, 2),
         delivery(F.col("doc_forecast"), fore, 3),
         F.when(F.pmod("user_id", F.lit(50)) == 0,
-               delivery(F.substring("doc_new", 1, 40), hist, 4)))
+               delivery(F.replace("doc_new", F.lit('"forecast":'), F.lit('"forecast" ')), hist, 4)))
     return (d.select(F.explode(deliveries).alias("e")).where(F.col("e").isNotNull())
             .select("e.raw_json", "e.source_url", "e.fetched_at"))
 
