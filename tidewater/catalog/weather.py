@@ -9,7 +9,10 @@ from .registry import register
 
 # The flat rows the packed feed must flatten back to (events as hours of a
 # location), written directly against ``events``.
-HOURS_SQL = r"""
+# Fixed value: hours per packed weather document (the packer's default).
+MAX_HOURS = 2048
+
+HOURS_SQL = rf"""
   SELECT
     'City ' || CAST(user_id AS VARCHAR) AS city,
     'Country ' || CAST(user_id % 25 AS VARCHAR) AS country,
@@ -19,7 +22,9 @@ HOURS_SQL = r"""
     CAST(epoch_us(ts) // 1000000 AS BIGINT) AS time_epoch,
     CASE WHEN event_type = 'error' THEN NULL ELSE CAST(value AS DECIMAL(38,9)) END AS temp_c,
     CAST(json_extract_string(props, '$.k') AS BIGINT) AS humidity,
-    event_type AS condition_text
+    event_type AS condition_text,
+    event_id % greatest(1, CAST(ceil(count(*) OVER (PARTITION BY user_id, CAST(ts AS DATE)) / {MAX_HOURS}) AS BIGINT))
+      AS chunk
   FROM events
 """
 
@@ -29,7 +34,8 @@ r AS (
   SELECT *,
     make_timestamp(time_epoch * 1000000) AS observed_at,
     'https://api.weather.example/v1/history.json?q=' || CAST(lat AS VARCHAR) || ',' ||
-      CAST(lon AS VARCHAR) || '&dt=' || strftime(day_date, '%Y-%m-%d') AS source_url,
+      CAST(lon AS VARCHAR) || '&dt=' || strftime(day_date, '%Y-%m-%d') ||
+      CASE WHEN chunk > 0 THEN '&part=' || CAST(chunk AS VARCHAR) ELSE '' END AS source_url,
     CAST(day_date AS TIMESTAMP) + INTERVAL 26 HOUR AS fetched_at,
     md5(CAST(lat AS VARCHAR) || ',' || CAST(lon AS VARCHAR) || '|' || CAST(time_epoch AS VARCHAR))
       AS weather_hour_id,

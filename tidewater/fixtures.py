@@ -22,7 +22,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def chunk_of(df: DataFrame, group: list, item_key: str, max_items: int) -> DataFrame:
+def chunk_of(df: DataFrame, group: list, item_key: str, max_items: int,
+             hashed: bool = True) -> DataFrame:
     """Add ``chunk``: ``pmod(xxhash64(item_key), ceil(n_group / max_items))``
     (chunks hold ``max_items`` items on average).
 
@@ -36,8 +37,9 @@ def chunk_of(df: DataFrame, group: list, item_key: str, max_items: int) -> DataF
     """
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_items)))
+    key = F.xxhash64(item_key) if hashed else F.col(item_key)   # integer keys may be used as is
     return (df.join(counts, group)
-            .withColumn("chunk", F.pmod(F.xxhash64(item_key), n_chunks).cast("int"))
+            .withColumn("chunk", F.pmod(key, n_chunks).cast("int"))
             .drop("__n")
             .repartition(*group, "chunk"))
 
@@ -87,7 +89,8 @@ def weather_documents(events: DataFrame, max_hours: int = 2048) -> DataFrame:
     """One history document per (user, day, chunk):
     ``{location:{name,country,lat,lon}, forecast:{forecastday:[{date, hour:[...]}]}}``,
     rendered for three deliveries (``doc_new``, ``doc_old``, ``doc_forecast``)."""
-    h = chunk_of(weather_hours(events), ["user_id", "day"], "event_id", max_hours)
+    # chunk = event_id mod the number of chunks (reproducible by an oracle)
+    h = chunk_of(weather_hours(events), ["user_id", "day"], "event_id", max_hours, hashed=False)
     g = h.groupBy("user_id", "day", "chunk").agg(F.collect_list(
         F.struct("time_epoch", "value", "humidity", "event_type")).alias("hours"))
     loc = F.struct(F.concat(F.lit("City "), F.col("user_id").cast("string")).alias("name"),
@@ -112,9 +115,13 @@ def weather_envelopes(events: DataFrame, max_hours: int = 2048) -> DataFrame:
     whole history document (the colon after ``"forecast"`` removed, so it
     does not parse) fetched last (must vanish)."""
     d = weather_documents(events, max_hours)
+    # every document is its own fetch: chunks after the first carry &part=N,
+    # so their row ids (source_url:fetched_at) differ
+    part = F.when(F.col("chunk") > 0, F.concat(F.lit("&part="), F.col("chunk").cast("string"))) \
+        .otherwise(F.lit(""))
     q = F.concat(F.lit("?q="), user_lat(F.col("user_id")).cast("string"), F.lit(","),
                  user_lon(F.col("user_id")).cast("string"), F.lit("&dt="),
-                 F.date_format("day", "yyyy-MM-dd"))
+                 F.date_format("day", "yyyy-MM-dd"), part)
     hist = F.concat(F.lit(WEATHER_BASE + HISTORY), q)
     fore = F.concat(F.lit(WEATHER_BASE + FORECAST), q)
     end = F.col("day").cast("timestamp") + F.expr("INTERVAL 1 DAY")
