@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import now_or
 from ..sinks.tables import append_idempotent, load_summary, require_not_null, with_row_id
 from ..sources.files import scan_json_files, split_valid, table_for
-from ..sources.requests import ingest_plan
+from ..sources.requests import DEFAULT_LOCATION, ingest_plan
 
 RAW_FILE_COLUMNS = ["raw_json", "source", "fetched_at"]
 
@@ -41,9 +42,8 @@ def weather_envelopes_from_requests(requests: DataFrame, payload_col: str = "pay
                                     default_date=None, as_of=None) -> DataFrame:
     """P-15 up to the write: resolve the request parameters, build the
     secret-free source URL, wrap the landed payload as an envelope."""
-    plan = ingest_plan(requests, default_location=default_location or "59.3293,18.0686",
+    plan = ingest_plan(requests, default_location=default_location or DEFAULT_LOCATION,
                        default_date=default_date, as_of=as_of)
-    from ..functions import now_or
     return plan.select(F.col(payload_col).alias("raw_json"), "source_url",
                        now_or(fetched_at).alias("fetched_at"),
                        F.col("resolved_location").alias("location"),
