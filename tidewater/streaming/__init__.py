@@ -1,4 +1,4 @@
 """Structured Streaming versions of the intake and staging plans."""
 
-from .intake import (ENVELOPE_SCHEMA, NewestWinsStore, latest, read_envelopes,  # noqa: F401
-                     start_flatten, start_intake)
+from .intake import (ENVELOPE_SCHEMA, NewestWinsStore, latest, newest_version_dirs,  # noqa: F401
+                     read_envelopes, start_flatten, start_intake)

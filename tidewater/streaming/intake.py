@@ -59,20 +59,41 @@ def start_flatten(spark: SparkSession, raw_table: str, target: str, checkpoint:
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
+def newest_version_dirs(spark: SparkSession, root: str, below: int | None = None,
+                        days: list | None = None) -> list[str]:
+    """Directories holding the newest version of each day under ``root``
+    (``v=<batch>/day_utc=<day>``), from one file-system listing: the version
+    is in the directory name, so no data is read to find it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    wanted = None if days is None else {str(d) for d in days}
+    newest: dict[str, tuple[int, str]] = {}
+    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v=*/day_utc=*")) or []:
+        p = st.getPath()
+        day = p.getName().split("=", 1)[1]
+        v = int(p.getParent().getName().split("=", 1)[1])
+        if (below is not None and v >= below) or (wanted is not None and day not in wanted):
+            continue
+        if day not in newest or v > newest[day][0]:
+            newest[day] = (v, p.toString())
+    return [d for _, d in newest.values()]
+
+
 def latest(spark: SparkSession, root: str, below: int | None = None,
-           days: list | None = None) -> DataFrame | None:
+           days: list | None = None, schema=None) -> DataFrame | None:
     """Rows of the newest version of every day stored under ``root``
-    (optionally only versions ``< below`` and only the given ``days``; both
-    are partition filters, so other partitions are not read)."""
-    if not _exists(spark, root):
+    (optionally only versions ``< below`` and only the given ``days``).
+    Only those directories are read."""
+    dirs = newest_version_dirs(spark, root, below, days)
+    if not dirs:
         return None
-    df = spark.read.option("basePath", root).parquet(root)
-    if below is not None:
-        df = df.where(F.col("v") < below)
-    if days is not None:
-        df = df.where(F.col("day_utc").isin(days))
-    newest = df.select("day_utc", "v").distinct().groupBy("day_utc").agg(F.max("v").alias("v"))
-    return df.join(newest, ["day_utc", "v"], "left_semi").drop("v")
+    reader = spark.read.option("basePath", root)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(*dirs).drop("v")
 
 
 class NewestWinsStore:
