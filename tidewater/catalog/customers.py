@@ -3,9 +3,11 @@ dedup and signup plans."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import fixtures as fx
 from ..plans import customers as cu
-from ..session import configure
+from ..session import configure, ensure_local_dir, scratch_path
 from .registry import register
 from .sqlfrag import CUSTOMER_OBJECTS, initcap, title
 
@@ -80,10 +82,8 @@ def daily_signups(spark, sf_dir):
 
 
 def _customer_landing(spark, sf_dir):
-    from ..session import ensure_local_dir, scratch_path
     root = ensure_local_dir(scratch_path(spark, "landing_customers"))
     docs = fx.customer_documents(_customer(spark, sf_dir))
-    from pyspark.sql import functions as F
     named = docs.select(F.regexp_extract("source", r"([^/]+)$", 1).alias("name"),
                         F.col("raw_json").alias("text"))
     fx.write_documents(spark, named, root)
@@ -95,7 +95,6 @@ WITH o AS ({CUSTOMER_OBJECTS})
 SELECT id AS customer_id, name, email, signup_date, TIMESTAMP '{AS_OF}' AS loaded_at FROM o""")
 def semi_raw_load(spark, sf_dir):
     """SRC-4 + SNK-3/4/5/11: JSON-array files loaded into the semi-raw table."""
-    from ..session import scratch_path
     root = _customer_landing(spark, sf_dir)
     base = scratch_path(spark, "semi_raw_db")
     db = "tw_" + base.rsplit("-", 1)[-1]
@@ -110,10 +109,10 @@ SELECT id AS customer_id, {title('name')} AS customer_name, lower(email) AS cust
 FROM o""")
 def transformed_customers_load(spark, sf_dir):
     """P-6 with its write: REQUIRED-column table, skip-if-empty, append."""
-    from ..session import scratch_path
     path = scratch_path(spark, "transformed_customers")
     name = "transformed_customers_" + path.rsplit("-", 1)[-1]
     docs = fx.customer_documents(_customer(spark, sf_dir))
-    assert not cu.load_transformed_customers(spark, docs.limit(0), name, path, AS_OF)
+    nothing = docs.where(F.lit(False))                     # an empty delivery writes nothing
+    assert not cu.load_transformed_customers(spark, nothing, name, path, AS_OF)
     assert cu.load_transformed_customers(spark, docs, name, path, AS_OF)
     return spark.table(name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
-from ..functions import basename
+from ..functions import basename, json_value, safe_parse
 from ..plans import messages, raw_load, weather
 from ..session import configure, ensure_local_dir, scratch_path
 from ..sinks import tables as snk
@@ -347,6 +347,5 @@ def raw_weather_load(spark, sf_dir):
     raw_load.load_weather(spark, reqs, target, FETCHED_AT)
     raw_load.load_weather(spark, reqs, target, FETCHED_AT)
     out = spark.read.parquet(target)
-    from ..functions import json_value, safe_parse
     return out.select("source_url", json_value(safe_parse("raw_json"), "$.location.name").alias("city"),
                       "fetched_at")

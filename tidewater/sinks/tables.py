@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import json_text, now_or, row_id
+from ..session import shared_dir
 
 
 def to_envelope(payload: DataFrame, payload_col: str, source_col: str, fetched_at=None,
@@ -35,7 +36,6 @@ def require_not_null(df: DataFrame, cols) -> DataFrame:
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """SNK-5: ``CREATE DATABASE IF NOT EXISTS``, stored below the shared
     folder unless a location is given (never the local default warehouse)."""
-    from ..session import shared_dir
     location = location or f"{shared_dir(spark)}/warehouse/{name}.db"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
 
@@ -95,7 +95,6 @@ def append_idempotent(spark: SparkSession, batch: DataFrame, path: str, key: str
     """SNK-2 (+SNK-10): append the rows whose ``key`` is new; re-delivering
     a batch inserts nothing.  Returns ``{"inserted": n}`` from an observed
     metric of the write itself (no second pass over the data)."""
-    from pyspark.sql import Observation
     rows = new_rows(spark, batch, path, key, part)
     obs = Observation("append")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("inserted"))
