@@ -42,3 +42,21 @@ def test_hot_group_is_split(spark):
     assert len(sizes) >= 8 and sum(sizes) == 5000 and max(sizes) < 1024
     hourly = weather.stg_weather_hourly(fx.weather_envelopes(ev, max_hours=512))
     assert hourly.count() == 5000
+
+
+def test_store_vacuum_keeps_results(spark, sf_dir):
+    """Re-deliveries create new versions; vacuum drops the obsolete ones and
+    the newest-wins results stay the same."""
+    events = fx.read_table(spark, sf_dir, "events")
+    env = fx.weather_envelopes(events)
+    store = st.NewestWinsStore(spark, scratch_path(spark, "v_store"))
+    for i, hours in enumerate((2, 1, 2, 1)):            # new, old, new again, old again
+        store.merge(env.where(F.hour("fetched_at") == hours), i)
+    before = sorted(tuple(r) for r in store.hourly().collect())
+    daily_before = sorted(tuple(r) for r in store.daily().collect())
+    removed = store.vacuum()
+    assert removed > 0
+    assert sorted(tuple(r) for r in store.hourly().collect()) == before
+    assert sorted(tuple(r) for r in store.daily().collect()) == daily_before
+    expected = sorted(tuple(r) for r in weather.stg_weather_hourly(env).collect())
+    assert before == expected

@@ -147,6 +147,39 @@ class NewestWinsStore:
              .option("checkpointLocation", checkpoint))
         return (w.trigger(availableNow=True) if available_now else w).start()
 
+    def vacuum(self) -> int:
+        """Remove day versions no reader or replay can need.
+
+        Per day, keep the newest version and the newest version below the
+        last batch id (what a replay of the last batch reads); everything
+        older goes.  Returns the number of removed directories.  Run it
+        between micro-batches (e.g. every N batches from the driver)."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        removed = 0
+        for root in (self.hourly_root, self.daily_root):
+            path = jvm.org.apache.hadoop.fs.Path(root)
+            fs = path.getFileSystem(conf)
+            if not fs.exists(path):
+                continue
+            by_day: dict[str, list] = {}
+            for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v=*/day_utc=*")) or []:
+                p = st.getPath()
+                v = int(p.getParent().getName().split("=", 1)[1])
+                by_day.setdefault(p.getName(), []).append((v, p))
+            last = max((v for vs in by_day.values() for v, _ in vs), default=None)
+            for vs in by_day.values():
+                vs.sort(key=lambda x: x[0], reverse=True)
+                keep = {vs[0][0]}
+                below_last = [v for v, _ in vs if v < last]
+                if below_last:
+                    keep.add(below_last[0])
+                for v, p in vs:
+                    if v not in keep:
+                        fs.delete(p, True)
+                        removed += 1
+        return removed
+
     def hourly(self) -> DataFrame:
         df = latest(self.spark, self.hourly_root)
         return df.select(*HOURLY_COLUMNS)
