@@ -42,11 +42,16 @@ def json_kind(v: ColumnOrName) -> Column:
 
 def json_value(v: ColumnOrName, path: str = "$") -> Column:
     """FN-3: scalar at ``path`` as STRING; object, array, JSON null, missing
-    key and unparsable input give NULL."""
-    node = _node(v, path)
-    kind = json_kind(node)
-    return F.when(node.isNull() | kind.isin("OBJECT", "ARRAY", "VOID"), F.lit(None)) \
-        .otherwise(node.cast("string"))
+    key and unparsable input give NULL.
+
+    The value is read as text directly; only text starting with ``{`` or
+    ``[`` (an object or array rendered as JSON, or a string that merely
+    starts that way) pays for the type test, evaluated lazily in the CASE.
+    """
+    text = F.try_variant_get(_c(v), path, "string")
+    suspicious = text.startswith("{") | text.startswith("[")
+    return F.when(suspicious & json_kind(_node(v, path)).isin("OBJECT", "ARRAY"),
+                  F.lit(None).cast("string")).otherwise(text)
 
 
 def json_query(v: ColumnOrName, path: str = "$") -> Column:
