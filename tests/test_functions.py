@@ -94,3 +94,12 @@ def test_keys(spark):
     import hashlib
     assert r.k == "59.3,18.1|1700000000"
     assert r.h == hashlib.md5(r.k.encode()).hexdigest()
+
+
+def test_text_kind_matches_value_kind(spark):
+    from tidewater.functions.json import json_kind, text_kind
+    docs = [' \n\t[{"a":1}]', '{"a":[1]}', '  "x"', "12", "null", "[]", "{}"]
+    df = spark.createDataFrame([(d,) for d in docs], "t string")
+    rows = df.select(text_kind("t").alias("k"), json_kind(fn.safe_parse("t")).alias("j")).collect()
+    for r in rows:
+        assert r.k == (r.j if r.j in ("OBJECT", "ARRAY") else "SCALAR")

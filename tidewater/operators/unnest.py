@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json import json_kind, json_query_array, safe_parse, strict_parse
+from ..functions.json import json_kind, json_query_array, safe_parse, strict_parse, text_kind
+
+
+ColumnOrName = Column | str
 
 
 def _c(c):
@@ -31,15 +34,20 @@ def keep_objects(df: DataFrame, item: str) -> DataFrame:
     return df.where(json_kind(item) == "OBJECT")
 
 
-def keep_array_roots(df: DataFrame, doc: str) -> DataFrame:
-    """FLT-6: keep documents whose root is a JSON array."""
-    return df.where(json_kind(doc) == "ARRAY")
+def keep_array_roots(df: DataFrame, doc: str, text: str | None = None) -> DataFrame:
+    """FLT-6: keep documents whose root is a JSON array (decided from the
+    document text when it is given, else from the VARIANT)."""
+    kind = text_kind(text) if text is not None else json_kind(doc)
+    return df.where(F.col(doc).isNotNull() & (kind == "ARRAY"))
 
 
-def objects_of(doc: Column) -> Column:
+def objects_of(doc: Column, text: ColumnOrName | None = None) -> Column:
     """LAT-5 element list: array root -> its items, object root -> [root],
-    anything else (scalar, NULL, unparsable) -> no items."""
-    kind = json_kind(doc)
+    anything else (scalar, NULL, unparsable) -> no items.  With ``text``
+    (the document's JSON text) the root kind is read from its first
+    character instead of describing the whole value."""
+    kind = F.when(doc.isNull(), F.lit(None)).otherwise(text_kind(text)) \
+        if text is not None else json_kind(doc)
     return (F.when(kind == "ARRAY", json_query_array(doc, "$"))
             .when(kind == "OBJECT", F.array(doc))
             .otherwise(F.array().cast("array<variant>")))
@@ -51,7 +59,7 @@ def explode_tolerant(df: DataFrame, text_col: str = "raw_json", alias: str = "ob
     array -> its object items; a single object -> one row; other -> none."""
     keep = [] if keep is None else keep
     doc = safe_parse(text_col)
-    out = df.select(*keep, F.explode(objects_of(doc)).alias(alias))
+    out = df.select(*keep, F.explode(objects_of(doc, text_col)).alias(alias))
     return keep_objects(out, alias)
 
 
@@ -60,7 +68,7 @@ def explode_strict(df: DataFrame, text_col: str = "raw_json", alias: str = "obj"
     """LAT-6: strict explode: unparsable text fails the query, a root that is
     not an array is skipped, non-object items are skipped."""
     keep = [] if keep is None else keep
-    parsed = df.select(*keep, strict_parse(text_col).alias("__doc"))
-    arrays = keep_array_roots(parsed, "__doc")
+    parsed = df.select(*keep, strict_parse(text_col).alias("__doc"), F.col(text_col).alias("__text"))
+    arrays = keep_array_roots(parsed, "__doc", "__text")
     out = arrays.select(*keep, F.explode(json_query_array("__doc", "$")).alias(alias))
     return keep_objects(out, alias)
