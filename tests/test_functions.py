@@ -103,3 +103,14 @@ def test_text_kind_matches_value_kind(spark):
     rows = df.select(text_kind("t").alias("k"), json_kind(fn.safe_parse("t")).alias("j")).collect()
     for r in rows:
         assert r.k == (r.j if r.j in ("OBJECT", "ARRAY") else "SCALAR")
+
+
+def test_ingest_plan_body_then_args(spark):
+    from tidewater.sources.requests import ingest_plan
+    df = spark.createDataFrame([("b", "a", None, "2024-01-02"), ("", "a", "", None), (None, None, None, None)],
+                               "body_loc string, arg_loc string, body_date string, arg_date string")
+    out = ingest_plan(df, default_location="d", as_of="2024-03-10 12:00:00",
+                      location_col=["body_loc", "arg_loc"], date_col=["body_date", "arg_date"]).collect()
+    assert [(r.resolved_location, r.resolved_date) for r in out] == [
+        ("b", "2024-01-02"), ("a", "2024-03-09"), ("d", "2024-03-09")]
+    assert out[0].source_url.endswith("?q=b&dt=2024-01-02")

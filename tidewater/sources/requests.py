@@ -22,12 +22,15 @@ def source_url(location, date, base: str = HISTORY_URL) -> Column:
 
 def ingest_plan(requests: DataFrame, default_location: str | None = DEFAULT_LOCATION,
                 default_date: str | None = None, as_of=None,
-                location_col: str = "location", date_col: str = "date") -> DataFrame:
+                location_col: str | list = "location", date_col: str | list = "date") -> DataFrame:
     """SRC-11: resolve each request's location (request -> default) and date
     (request -> configured default -> yesterday UTC); ``''`` counts as
-    missing (Python ``or``).  Adds ``source_url``."""
-    loc = fallback(F.col(location_col), F.lit(default_location).cast("string"))
-    day = fallback(F.col(date_col), F.lit(default_date).cast("string"), yesterday(as_of))
+    missing (Python ``or``).  A list of columns is tried in order (e.g. the
+    JSON body's field, then the query argument).  Adds ``source_url``."""
+    as_list = lambda c: [c] if isinstance(c, str) else list(c)
+    loc = fallback(*[F.col(c) for c in as_list(location_col)], F.lit(default_location).cast("string"))
+    day = fallback(*[F.col(c) for c in as_list(date_col)], F.lit(default_date).cast("string"),
+                   yesterday(as_of))
     out = requests.withColumn("resolved_location", loc).withColumn("resolved_date", day)
     return out.withColumn("source_url", source_url(F.col("resolved_location"), F.col("resolved_date")))
 
