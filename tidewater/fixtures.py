@@ -2,9 +2,9 @@
 ingests.  Every packer is a Spark job over the whole input table.
 
 Groups (a user's day, an order's items, ...) are split into chunks of
-about ``max_items`` items (hash-balanced: the chunk is a hash of the item's
-own key modulo ``ceil(group size / max_items)``), so a huge group is spread
-over many documents and many tasks instead of one.
+about ``max_items`` items (the item's own key, hashed unless it is an
+integer id, modulo ``ceil(group size / max_items)``), so a huge group is
+spread over many documents and many tasks instead of one.
 """
 
 from __future__ import annotations
@@ -24,8 +24,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def chunk_of(df: DataFrame, group: list, item_key: str, max_items: int,
              hashed: bool = True) -> DataFrame:
-    """Add ``chunk``: ``pmod(xxhash64(item_key), ceil(n_group / max_items))``
-    (chunks hold ``max_items`` items on average).
+    """Add ``chunk``: ``pmod(key, ceil(n_group / max_items))`` where ``key``
+    is ``xxhash64(item_key)`` (``hashed``) or the integer ``item_key`` itself;
+    chunks hold ``max_items`` items on average.
 
     The group sizes come from a partial aggregate (one row per group), joined
     back on the group key; AQE turns that join into a broadcast when the
