@@ -273,20 +273,21 @@ def customer_documents_dirty(customer: DataFrame, block: int = 100) -> DataFrame
     single = c.where(F.col("k") == 1).select(
         F.col("obj").alias("raw_json"),
         F.concat(F.lit("data/customer_"), F.col("c_custkey").cast("string"), F.lit(".json")).alias("source"))
-    arrays = c.where(F.col("k") != 1).groupBy("blk").agg(
-        F.array_join(F.array_sort(F.collect_list("obj")), ",").alias("items"))
-    arrays = arrays.select(
-        F.concat(F.lit("["), F.col("items"), F.lit(',42,"oops",null,[1]]')).alias("raw_json"),
-        F.concat(F.lit("data/customers_"), F.col("blk").cast("string"), F.lit(".json")).alias("source"),
-        F.col("blk"))
-    junk_docs = F.array(*[F.lit(x) for x in (None, "{not json", "123", "[]")]).cast("array<string>")
-    junk = arrays.where(F.pmod("blk", F.lit(7)) == 0).select(
-        F.explode(junk_docs).alias("raw_json"),
-        F.concat(F.lit("data/junk_"), F.col("blk").cast("string"), F.lit(".json")).alias("source"))
     ts = F.lit("2024-02-01 00:00:00").cast("timestamp").alias("fetched_at")
-    return (arrays.select("raw_json", "source", ts)
-            .unionByName(single.select("raw_json", "source", ts))
-            .unionByName(junk.select("raw_json", "source", ts)))
+    blk = F.col("blk").cast("string")
+    # one aggregate pass: every block yields its array document and, for
+    # every 7th block, the junk documents (NULL, unparsable, scalar, empty)
+    doc = lambda raw, name: F.struct(raw.cast("string").alias("raw_json"), name.alias("source"))
+    junk = [doc(F.lit(x), F.concat(F.lit("data/junk_"), blk, F.lit(".json")))
+            for x in (None, "{not json", "123", "[]")]
+    per_block = c.where(F.col("k") != 1).groupBy("blk").agg(
+        F.array_join(F.array_sort(F.collect_list("obj")), ",").alias("items"))
+    main = doc(F.concat(F.lit("["), F.col("items"), F.lit(',42,"oops",null,[1]]')),
+               F.concat(F.lit("data/customers_"), blk, F.lit(".json")))
+    docs = per_block.select(F.explode(F.when(F.pmod("blk", F.lit(7)) == 0, F.array(main, *junk))
+                                      .otherwise(F.array(main))).alias("d"))
+    return (docs.select("d.raw_json", "d.source", ts)
+            .unionByName(single.select("raw_json", "source", ts)))
 
 
 def customers_semi_raw(customer: DataFrame, deliveries: int = 3) -> DataFrame:
