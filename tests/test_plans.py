@@ -60,3 +60,18 @@ def test_single_column_scan(spark, sf_dir):
     from tidewater.sources.tables import single_column
     p = plan(single_column(fx.read_table(spark, sf_dir, "lineitem"), "l_orderkey"))
     assert "ReadSchema: struct<l_orderkey:bigint>" in p
+
+
+def test_partitioned_write_avoids_tasks_times_days_files(spark):
+    import glob as g
+    path = scratch_path(spark, "plan_files")
+    df = spark.range(0, 40000, numPartitions=8).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 10).cast("int")).alias("day_utc"),
+        (F.col("id") % 97).cast("string").alias("city"), F.col("id"))
+    df = df.repartition(8, "id")                      # every task holds every day
+    snk.write_partitioned(df, path, "day_utc", ("city",))
+    local = path[len("file:"):] if path.startswith("file:") else path
+    files = g.glob(f"{local}/day_utc=*/*.parquet")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    assert len(files) <= int(parts) + 10 < 8 * 10
+    assert spark.read.parquet(path).count() == 40000
