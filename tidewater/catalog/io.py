@@ -169,8 +169,9 @@ def skip_empty_write(spark, sf_dir):
 def view_materialised(spark, sf_dir):
     """SNK-6: the hourly staging as a view, the mart read through it."""
     raw = fx.weather_envelopes(_t(spark, sf_dir, "events"))
-    snk.as_view(weather.stg_weather_hourly(raw), "stg_weather_hourly")
-    return weather.fct_weather_daily(spark.table("stg_weather_hourly"))
+    name = "stg_weather_hourly_" + scratch_path(spark, "view").rsplit("-", 1)[-1]   # unique per run
+    snk.as_view(weather.stg_weather_hourly(raw), name)
+    return weather.fct_weather_daily(spark.table(name))
 
 
 @register("table_materialised", DAILY_SQL)
