@@ -75,3 +75,16 @@ def test_partitioned_write_avoids_tasks_times_days_files(spark):
     parts = spark.conf.get("spark.sql.shuffle.partitions")
     assert len(files) <= int(parts) + 10 < 8 * 10
     assert spark.read.parquet(path).count() == 40000
+
+
+def test_shuffle_sizing_from_input(spark, sf_dir):
+    from tidewater.session import input_bytes, size_for_input
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n_small = size_for_input(spark, input_bytes(spark, f"{sf_dir}/events.parquet"))
+        assert n_small == 2 * spark.sparkContext.defaultParallelism       # tiny input: floor
+        n_big = size_for_input(spark, 100 << 40)                            # 100 TB on disk
+        assert n_big == -(-(100 << 40) * 4 // (256 << 20))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(n_big)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
