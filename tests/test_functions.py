@@ -114,3 +114,25 @@ def test_ingest_plan_body_then_args(spark):
     assert [(r.resolved_location, r.resolved_date) for r in out] == [
         ("b", "2024-01-02"), ("a", "2024-03-09"), ("d", "2024-03-09")]
     assert out[0].source_url.endswith("?q=b&dt=2024-01-02")
+
+
+def _initcap_rule(s: str) -> str:
+    from tidewater.functions.text import INITCAP_DELIMITERS
+    out, prev = [], None
+    for ch in s.lower():
+        boundary = prev is None or prev.isspace() or prev in INITCAP_DELIMITERS
+        out.append(ch.upper() if boundary else ch)
+        prev = ch
+    return "".join(out)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHABET + "\t\n[]{}|\\<>!?@\"^$&~,:;*%+", max_size=24),
+                min_size=1, max_size=8))
+def test_initcap_matches_rule(spark, texts):
+    texts = [t for t in texts if "ß" not in t]      # upper('ß') is 'SS' in Java and Python alike, skip
+    if not texts:
+        return
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.x for r in df.select(fn.initcap_sql("t").alias("x")).collect()]
+    assert got == [_initcap_rule(t) for t in texts]
