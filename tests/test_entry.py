@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from tidewater import catalog
 from tidewater.catalog.compare import compare, duckdb_for
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = catalog.oracles()
 
 
 def test_entry_runs(spark):
@@ -15,6 +16,11 @@ def test_entry_runs(spark):
     assert "weather_day_key" in df.columns
 
 
+def test_entry_holds_every_library_query():
+    assert set(QUERIES) <= set(E.queries())
+    assert set(ORACLES) <= set(E.oracle_sql())
+
+
 def test_every_query_has_an_oracle():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == set()
