@@ -40,6 +40,13 @@ def _bucket(gram: Column) -> Column:
     return gram.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
+def _held(column: Column) -> Column:
+    """The column, not deterministic to the optimizer: a filter on it stays
+    above its projection.  Pushed below, the filter would take the array
+    columns' definitions into lambda functions and evaluate them per element."""
+    return F.when(F.spark_partition_id() >= 0, column)
+
+
 def with_grams(docs: DataFrame, *keep: str) -> DataFrame:
     """Columns ``keep``, text, hashes (one per word) and pairs (one per word:
     with the next word, for the last word with none)."""
@@ -114,7 +121,7 @@ def rate(docs: DataFrame, ratios: list[float], *keep: str, threshold: float = TH
     total = summed("hashes") + summed("pairs")
     grams = F.greatest(2 * F.col("n_words"), F.lit(1))
     out = base.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                      _covered(starts).alias("n_repeat_words"), F.round(total / grams, 6).alias("llr"))
+                      _held(_covered(starts)).alias("n_repeat_words"), _held(F.round(total / grams, 6)).alias("llr"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     return (out.withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)))
