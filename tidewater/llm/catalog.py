@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import exact_dedup, quality_rules
+from . import exact_dedup, quality_rules, sentencepiece, simhash
 from .common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -45,6 +45,16 @@ def op5_quality_rules(spark, sf_dir):
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op8_sentencepiece")
+def op8_sentencepiece(spark, sf_dir):
+    return sentencepiece.encode_report(table(spark, sf_dir, "documents"))
+
+
+@register("op10_simhash_dedup")
+def op10_simhash_dedup(spark, sf_dir):
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable]:
     return dict(QUERIES)
 
