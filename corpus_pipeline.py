@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, quality_rules
+from tidewater.llm import exact_dedup, mixing, quality_rules, sentencepiece, simhash
 from tidewater.llm.common import materialise, table
 
 
@@ -18,12 +18,30 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by their fingerprints the one with the smallest id stays."""
+    return simhash.drop_near_copies(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the order that holds every source to its weight; all stay."""
+    return mixing.mixed(docs)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sub-word counts and digests of every document."""
+    return sentencepiece.encode_report(docs)
+
+
 STAGES = [
     ("quality_rules", rule_quality),
     ("exact_dedup", drop_exact_copies),
+    ("simhash_dedup", drop_near_copies),
+    ("source_mixing", mix_sources),
+    ("sentencepiece", encode_pieces),
 ]
 
-# Hashes, sub-word ids and the merge schedule have no DuckDB counterpart.
+# Hashes, fingerprints and sub-word ids have no DuckDB counterpart.
 ORACLE_SQL = None
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import exact_dedup, quality_rules, sentencepiece, simhash
+from . import exact_dedup, mixing, quality_rules, sentencepiece, simhash
 from .common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -40,6 +40,35 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+# One period of the schedule, step by step, and each document's slot from it.
+MIXING = r"""
+WITH RECURSIVE src AS (SELECT coalesce(source, '') AS s, count(*) AS n FROM documents GROUP BY 1),
+w AS (SELECT s, greatest(1, floor(1000 * sqrt(n) / (SELECT sum(sqrt(n)) FROM src)))::BIGINT AS a FROM src),
+l AS (SELECT list(s ORDER BY s) AS names, list(a ORDER BY s) AS a, sum(a)::BIGINT AS p FROM w),
+sim AS (
+  SELECT 0::BIGINT AS slot, names, a, p, list_transform(a, lambda x: 0::BIGINT) AS nxt, 1::BIGINT AS pick FROM l
+  UNION ALL
+  SELECT slot + 1, names, a, p, list_transform(range(1, len(a) + 1), lambda i: nxt[i] + CASE WHEN i = chosen THEN 1 ELSE 0 END), chosen
+  FROM (
+    SELECT *, list_min(list_transform(range(1, len(a) + 1), lambda i:
+        CASE WHEN nxt[i] < a[i] AND nxt[i] * p // a[i] <= slot
+             THEN (((nxt[i] + 1) * p + a[i] - 1) // a[i]) * 1000000 + i END)) % 1000000 AS chosen
+    FROM sim WHERE slot < p)),
+plan AS (SELECT names[pick] AS s, a[pick] AS a, p, nxt[pick] - 1 AS j, slot - 1 AS turn FROM sim WHERE slot > 0),
+d AS (SELECT doc_id, coalesce(source, '') AS s,
+             row_number() OVER (PARTITION BY coalesce(source, '')
+               ORDER BY ((doc_id % 2147483648) * 2654435761) % 4294967296, doc_id) - 1 AS place FROM documents)
+SELECT doc_id, d.s AS source, place // 8 AS block, ((place // 8) // a) * p + turn AS slot,
+       (place // 8) * p // a AS release, ((place // 8 + 1) * p + a - 1) // a AS deadline, place
+FROM d JOIN plan ON plan.s = d.s AND plan.j = (place // 8) % a
+"""
+
+
+@register("op3_source_mixing", MIXING)
+def op3_source_mixing(spark, sf_dir):
+    return mixing.mixing_plan(table(spark, sf_dir, "documents"))
+
+
 @register("op5_quality_rules")
 def op5_quality_rules(spark, sf_dir):
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
