@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import exact_dedup, mixing, quality_rules, sentencepiece, simhash
+from . import exact_dedup, mixing, quality_rules, sentencepiece, simhash, token_counts, url_rules
 from .common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -74,6 +74,32 @@ def op5_quality_rules(spark, sf_dir):
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op6_token_counts")
+def op6_token_counts(spark, sf_dir):
+    return token_counts.answers(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+
+
+URL_RULES = r"""
+WITH p AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+r(rule, h, q, verdict) AS (VALUES
+  ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+  ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+best AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q) GROUP BY 1)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN best USING (page_id)
+"""
+
+
+@register("op7_url_rules", URL_RULES)
+def op7_url_rules(spark, sf_dir):
+    return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rule_table(spark))
+
+
 @register("op8_sentencepiece")
 def op8_sentencepiece(spark, sf_dir):
     return sentencepiece.encode_report(table(spark, sf_dir, "documents"))
