@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import exact_dedup, mixing, quality_rules, sentencepiece, simhash, token_counts, url_rules
+from . import exact_dedup, language_id, line_quality, mixing, quality_rules, sentencepiece, simhash, token_counts, url_rules
 from .common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -40,6 +40,11 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@register("op2_language_id")
+def op2_language_id(spark, sf_dir):
+    return language_id.language_report(table(spark, sf_dir, "documents"))
+
+
 # One period of the schedule, step by step, and each document's slot from it.
 MIXING = r"""
 WITH RECURSIVE src AS (SELECT coalesce(source, '') AS s, count(*) AS n FROM documents GROUP BY 1),
@@ -105,6 +110,11 @@ def op8_sentencepiece(spark, sf_dir):
     return sentencepiece.encode_report(table(spark, sf_dir, "documents"))
 
 
+@register("op9_line_quality")
+def op9_line_quality(spark, sf_dir):
+    return line_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op10_simhash_dedup")
 def op10_simhash_dedup(spark, sf_dir):
     return simhash.near_groups(table(spark, sf_dir, "documents"))
