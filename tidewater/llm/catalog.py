@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import exact_dedup, language_id, line_quality, mixing, quality_rules, sentencepiece, simhash, token_counts, url_rules
+from . import exact_dedup, language_id, line_quality, mixing, pii, quality_rules, sentencepiece, simhash, token_counts, url_rules
 from .common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -74,6 +74,11 @@ def op3_source_mixing(spark, sf_dir):
     return mixing.mixing_plan(table(spark, sf_dir, "documents"))
 
 
+@register("op4_personal_data")
+def op4_personal_data(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 @register("op5_quality_rules")
 def op5_quality_rules(spark, sf_dir):
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
