@@ -89,9 +89,22 @@ _REACH, _CARDS = {"email", "e-mail", "mail", "write", "contact"}, {"card", "visa
 _NETS, _CALLS = {"ip", "server", "host", "address", "ping"}, {"call", "phone", "tel", "telephone", "mobile", "fax", "ring", "dial"}
 
 
+_MARKS = ".,;:!?\"'*#$%&"
+_CUES = _AT | _DOT | _ENDS | _REACH | _CARDS | _NETS | _CALLS
+
+
+def signature(token: str):
+    """The same value for tokens that are sure to have the same shape: plain
+    words apart from cue words count by their case and length alone."""
+    core = token.strip(_MARKS)
+    if core.isalpha() and core.lower() not in _CUES and token.lower() not in _CUES:
+        return core.islower(), core.isupper(), core[:1].isupper() and core[1:].islower(), len(core) > 20
+    return token
+
+
 def shape(token: str) -> np.ndarray:
     """Feature vector of a token, from its shape and a few cue words."""
-    core = token.strip(".,;:!?\"'*#$%&")
+    core = token.strip(_MARKS)
     low = core.lower()
     digits = sum("0" <= c <= "9" for c in core)
     letters = sum(map(str.isalpha, core))
@@ -150,18 +163,25 @@ class Tagger:
     def __init__(self, weights: np.ndarray, trans: np.ndarray):
         n = len(_FEATURES)
         self.parts, self.trans = (weights[:n], weights[n:2 * n], weights[2 * n:]), trans
-        self.place: dict[str, int] = {}
+        self.place: dict[str, int] = {}   # of a token's signature in scores
+        self.known: dict = {}             # the same by signature
         self.scores = np.zeros((0, 3 * len(TAGS)))
 
     def tags(self, tokens: list[str], sizes: np.ndarray) -> np.ndarray:
         """Tag numbers of tokens lying in sequences of ``sizes``."""
-        new = list(set(tokens) - self.place.keys())
+        new = set(tokens) - self.place.keys()
         if len(self.place) + len(new) > MEMO_TOKENS:
-            self.place, self.scores = {}, self.scores[:0]
-            new = list(set(tokens))
-        if new:
-            shapes = np.array([shape(t) for t in new])
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+            self.place, self.known, self.scores = {}, {}, self.scores[:0]
+            new = set(tokens)
+        first = []
+        for token in new:
+            key = signature(token)
+            if key not in self.known:
+                self.known[key] = len(self.known)
+                first.append(token)
+            self.place[token] = self.known[key]
+        if first:
+            shapes = np.array([shape(t) for t in first])
             self.scores = np.concatenate([self.scores, np.hstack([shapes @ w for w in self.parts])])
         k, at = len(TAGS), np.fromiter(map(self.place.__getitem__, tokens), np.int64, len(tokens))
         own = self.scores[at, :k]
