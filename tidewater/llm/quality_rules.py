@@ -23,7 +23,7 @@ from .common import whole_text
 
 BUCKETS = 8192            # hashed n-gram features, a power of two
 TRUSTED_ROWS = 20_000     # labelled rows the target is fitted on, at most
-THRESHOLD = -0.15         # smallest mean log ratio of a document that is kept
+THRESHOLD = -0.4          # smallest mean log ratio of a document that is kept
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 WINDOW = 5
@@ -63,7 +63,7 @@ def log_ratios(docs: DataFrame, trusted_ids: DataFrame) -> list[float]:
     trusted document all ratios are 0.
     """
     marks = F.broadcast(trusted_ids.select("doc_id", F.lit(1).alias("trusted")))
-    grams = with_grams(docs.join(marks, "doc_id", "left").select("trusted", "text"), "trusted")
+    grams = with_grams(docs.select("doc_id", "text").join(marks, "doc_id", "left").select("trusted", "text"), "trusted")
     counts = (grams.select("trusted", F.explode(F.concat("hashes", "pairs")).alias("gram"))
               .groupBy(_bucket(F.col("gram")).alias("bucket"))
               .agg(F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("target"))
