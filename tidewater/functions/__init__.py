@@ -1,9 +1,9 @@
 """Column -> Column building blocks."""
 
 from .casts import (NUMERIC, date_of, epoch_to_timestamp, int_or_default, safe_cast,  # noqa: F401
-                    str_or_default, strict_cast, to_date_coerce, to_numeric_coerce)
-from .json import (json_kind, json_query, json_query_array, json_text, json_value,  # noqa: F401
-                   safe_parse, strict_parse)
+                    strict_cast, to_date_coerce, to_numeric_coerce)
+from .json import (default_if_missing, int_of_json, is_one_document, json_kind, json_query,  # noqa: F401
+                   json_query_array, json_text, json_value, safe_parse, strict_parse)
 from .keys import iso_utc, location_key, md5_hex, natural_key, row_id  # noqa: F401
 from .text import (basename, greeting, initcap_sql, lower, rstrip_slash, sha256_prefix,  # noqa: F401
                    strip_json_suffix, title_python)

@@ -22,14 +22,18 @@ def safe_cast(c, to: str) -> Column:
     return _c(c).try_cast(to)
 
 
+# Text that is a number; Spark's casts alone would also take '12d' or 'NaN'.
+NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def to_numeric_coerce(c) -> Column:
-    """FN-16: pandas ``to_numeric(errors='coerce')`` then integer: numeric
-    text (also '12.0', ' 7 ', '1e3') -> BIGINT, other -> NULL.  Fractions
-    are truncated towards zero like the int64 conversion."""
-    d = _c(c).cast("string")
-    num = F.trim(d).try_cast("double")
-    ok = num.isNotNull() & ~F.isnan(num) & (F.abs(num) < F.lit(9.2e18))
-    return F.when(ok, num.cast("bigint"))
+    """FN-16: numeric text (also '12.0', ' 7 ', '1e3') -> BIGINT, other ->
+    NULL.  All 64 bits of a whole number are kept; fractions are truncated
+    towards zero; a number beyond 64 bits is NULL."""
+    text = F.trim(_c(c).cast("string"))
+    whole = F.coalesce(text.try_cast("bigint"), F.floor(F.abs(text.try_cast("decimal(38,9)"))).try_cast("bigint")
+                       * F.when(text.startswith("-"), -1).otherwise(1))
+    return F.when(text.rlike(NUMBER_TEXT), whole)
 
 
 # Fixed value: the date layouts the tolerant date parser accepts, in order.
@@ -44,16 +48,11 @@ def to_date_coerce(c) -> Column:
 
 
 def int_or_default(c, default: int = 0) -> Column:
-    """FN-18: ``int(obj.get(k, default))``: default only when the key is
-    absent (NULL); a present value must convert or the query fails."""
+    """FN-18 for a plain column: NULL counts as absent; any other value must
+    convert or the query fails."""
     return F.coalesce(_c(c).cast("bigint"), F.lit(default).cast("bigint"))
 
 
-def str_or_default(c, default: str = "") -> Column:
-    """PRJ-7: string field with a default for a missing key."""
-    return F.coalesce(_c(c).cast("string"), F.lit(default))
-
-
 def date_of(c) -> Column:
     """FN-8: DATE(string | timestamp) in the session time zone (UTC)."""
     return F.to_date(_c(c))

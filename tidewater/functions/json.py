@@ -62,6 +62,33 @@ def json_value(v: ColumnOrName, path: str = "$") -> Column:
                   F.lit(None).cast("string")).otherwise(text)
 
 
+def default_if_missing(v: ColumnOrName, path: str, default: str) -> Column:
+    """PRJ-7: the scalar at ``path`` as text; ``default`` only where the key is
+    missing.  A key that is present with JSON null stays NULL."""
+    return F.when(_node(v, path).isNull(), F.lit(default)).otherwise(json_value(v, path))
+
+
+def int_of_json(v: ColumnOrName, path: str, default: int) -> Column:
+    """FN-18: whole part of the number or integer text at ``path``, ``default``
+    where the key is missing; JSON null and other values fail the query."""
+    text = json_value(v, path)
+    number = json_kind(_node(v, path)).isin("DECIMAL", "DOUBLE", "FLOAT")
+    whole = F.when(number, text.cast("decimal(38,9)").cast("bigint")).otherwise(text.cast("bigint"))
+    fail = F.raise_error(F.lit(f"no integer at {path}")).cast("bigint")
+    return (F.when(_node(v, path).isNull(), F.lit(default).cast("bigint"))
+            .when(text.isNull(), fail).otherwise(whole))
+
+
+def is_one_document(text: ColumnOrName) -> Column:
+    """True where the whole text is one JSON value.  The parser stops at the
+    end of the first value, so the text is parsed inside an array and inside
+    an object: text after the value breaks one of them."""
+    t = _c(text)
+    inside = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
+    member = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
+    return inside.isNotNull() & member.isNotNull() & (F.size(F.try_variant_get(inside, "$", "array<variant>")) == 1)
+
+
 def json_query(v: ColumnOrName, path: str = "$") -> Column:
     """FN-4: the JSON text of the value at ``path`` (objects, arrays and
     quoted strings alike); missing -> NULL."""

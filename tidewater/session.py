@@ -22,6 +22,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",  # the last of equal keys wins, as in json.loads
     "spark.ui.enabled": "false",
 }
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import basename, json_text, now_or, safe_parse, strip_json_suffix
+from ..functions import basename, is_one_document, json_text, now_or, safe_parse, strip_json_suffix
 
 
 def read_documents(spark: SparkSession, glob: str) -> DataFrame:
@@ -33,10 +33,11 @@ def scan_json_files(spark: SparkSession, glob: str, fetched_at=None,
 
 
 def split_valid(df: DataFrame, col: str = "raw_json") -> tuple[DataFrame, DataFrame]:
-    """SRC-2: (rows whose ``col`` holds a parsable document, the rest).
-    The bad part is a quarantine DataFrame: nothing stops the good part."""
-    ok = safe_parse(col).isNotNull()
-    return df.where(ok), df.where(~ok | F.col(col).isNull())
+    """SRC-2: (rows whose ``col`` holds exactly one JSON document, the rest).
+    The bad part is a quarantine DataFrame: nothing stops the good part.
+    Text after the document makes it bad."""
+    ok = F.coalesce(is_one_document(col), F.lit(False))
+    return df.where(ok), df.where(~ok)
 
 
 def table_for(source_col: str = "source", prefix: str = "raw_") -> "F.Column":
