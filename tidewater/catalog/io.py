@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
-from ..functions import basename, json_value, safe_parse
+from ..functions import basename, json_query_array, json_value, safe_parse
 from ..plans import messages, raw_load, weather
 from ..session import configure, ensure_local_dir, scratch_path
 from ..sinks import tables as snk
@@ -326,27 +326,30 @@ def enrich_source_url(spark, sf_dir):
 
 
 @register("raw_weather_load", """
-SELECT DISTINCT
+SELECT
   'https://api.weatherapi.com/v1/history.json?q=' ||
     CAST(CAST((user_id % 1200) - 600 AS DOUBLE) / 10.0 AS VARCHAR) || ',' ||
     CAST(CAST(((user_id // 1200) % 3600) - 1800 AS DOUBLE) / 10.0 AS VARCHAR) || '&dt=' ||
     strftime(CAST(ts AS DATE), '%Y-%m-%d') AS source_url,
   'City ' || CAST(user_id AS VARCHAR) AS city,
-  TIMESTAMP '2024-02-01 06:00:00' AS fetched_at
+  TIMESTAMP '2024-02-01 06:00:00' AS fetched_at,
+  CAST(epoch_us(ts) // 1000000 AS BIGINT) AS time_epoch
 FROM events""")
 def raw_weather_load(spark, sf_dir):
     """P-15: landed weather documents + their requests -> envelopes with
-    secret-free source URLs, appended idempotently (a retry adds nothing;
-    documents sharing one request and fetch time share one row id)."""
+    secret-free source URLs, appended idempotently (a retry adds nothing);
+    the stored payloads are unnested, so every hour is compared."""
     docs = fx.weather_documents(_t(spark, sf_dir, "events"))
     reqs = docs.select(
         F.concat(fx.user_lat(F.col("user_id")).cast("string"), F.lit(","),
                  fx.user_lon(F.col("user_id")).cast("string")).alias("location"),
-        F.date_format("day", "yyyy-MM-dd").alias("date"),
+        F.date_format("day", "yyyy-MM-dd").alias("date"), F.col("chunk").alias("part"),
         F.col("doc_new").alias("payload"))
     target = scratch_path(spark, "raw_weather_load")
     raw_load.load_weather(spark, reqs, target, FETCHED_AT)
     raw_load.load_weather(spark, reqs, target, FETCHED_AT)
-    out = spark.read.parquet(target)
-    return out.select("source_url", json_value(safe_parse("raw_json"), "$.location.name").alias("city"),
-                      "fetched_at")
+    out = spark.read.parquet(target).select("source_url", "fetched_at", safe_parse("raw_json").alias("doc"))
+    hours = out.select("source_url", "fetched_at", json_value("doc", "$.location.name").alias("city"),
+                       F.explode(json_query_array("doc", "$.forecast.forecastday[0].hour")).alias("hour"))
+    return hours.select(F.regexp_replace("source_url", "&part=[0-9]+$", "").alias("source_url"), "city", "fetched_at",
+                        json_value("hour", "$.time_epoch").cast("bigint").alias("time_epoch"))

@@ -90,7 +90,8 @@ def weather_documents(events: DataFrame, max_hours: int = 2048) -> DataFrame:
     """One history document per (user, day, chunk):
     ``{location:{name,country,lat,lon}, forecast:{forecastday:[{date, hour:[...]}]}}``,
     rendered for three deliveries (``doc_new``, ``doc_old``, ``doc_forecast``)."""
-    # chunk = event_id mod the number of chunks (reproducible by an oracle)
+    # chunk = event_id mod the number of chunks (reproducible by an oracle);
+    # each chunk is a fetch of its own
     h = chunk_of(weather_hours(events), ["user_id", "day"], "event_id", max_hours, hashed=False)
     g = h.groupBy("user_id", "day", "chunk").agg(F.collect_list(
         F.struct("time_epoch", "value", "humidity", "event_type")).alias("hours"))

@@ -44,7 +44,11 @@ def weather_envelopes_from_requests(requests: DataFrame, payload_col: str = "pay
     secret-free source URL, wrap the landed payload as an envelope."""
     plan = ingest_plan(requests, default_location=default_location or DEFAULT_LOCATION,
                        default_date=default_date, as_of=as_of)
-    return plan.select(F.col(payload_col).alias("raw_json"), "source_url",
+    # a request for a further part of a day has a source url of its own
+    url = F.col("source_url")
+    if "part" in requests.columns:
+        url = F.when(F.col("part") > 0, F.concat(url, F.lit("&part="), F.col("part").cast("string"))).otherwise(url)
+    return plan.select(F.col(payload_col).alias("raw_json"), url.alias("source_url"),
                        now_or(fetched_at).alias("fetched_at"),
                        F.col("resolved_location").alias("location"),
                        F.col("resolved_date").alias("date"))

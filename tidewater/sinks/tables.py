@@ -63,30 +63,39 @@ def append_plain(df: DataFrame, path: str, partition_by=None) -> None:
     w.parquet(path)
 
 
-MAX_PRUNE_VALUES = 1000
+def one_per_key(batch: DataFrame, key: str, part: str) -> DataFrame:
+    """The batch with one row per (part, key).
+
+    A NULL in either fails the write, and so do two different rows under one
+    key: neither can be told apart on a retry.  Rows are compared by a hash of
+    all columns in a narrow aggregate; the rows themselves are only shuffled
+    where a key comes more than once.
+    """
+    others = [c for c in batch.columns if c not in (key, part)]
+    content = F.xxhash64(*others) if others else F.lit(0).cast("bigint")
+    clash = F.raise_error(F.concat(F.lit("different rows share the key "), F.col(key).cast("string")))
+    seen = (require_not_null(batch.select(part, key, content.alias("_content")), [part, key])
+            .groupBy(part, key).agg(F.count(F.lit(1)).alias("_n"), F.min("_content").alias("_lo"), F.max("_content").alias("_hi"))
+            .withColumn("_n", F.when(F.col("_lo") != F.col("_hi"), clash.cast("bigint")).otherwise(F.col("_n")))
+            .where(F.col("_n") > 1))
+    # Keys that repeat; the filter forces the check on every key.
+    repeated = seen.select(part, key)
+    once = batch.join(repeated, [part, key], "left_anti")
+    return once.unionByName(batch.join(repeated, [part, key], "left_semi").dropDuplicates([part, key]).select(*once.columns))
 
 
 def new_rows(spark: SparkSession, batch: DataFrame, path: str, key: str = "row_id",
              part: str = "fetched_date") -> DataFrame:
-    """Rows of ``batch`` not yet in the table at ``path``: the batch is
-    de-duplicated on ``key`` and anti-joined against the table on
-    ``(part, key)``.
-
-    Only the target partitions the batch touches are read: the batch's
-    distinct fetch days (a handful of values, probed with a bounded
-    ``limit``) become a static partition filter on the target scan.  A batch
-    spanning more than ``MAX_PRUNE_VALUES`` days falls back to a semi-join
-    on the day instead of shipping the list.
+    """Rows of ``batch`` not yet in the table at ``path``: one per key, and
+    anti-joined against the table on ``(part, key)``.
+
+    The table's side is semi-joined on the batch's days, which prunes its
+    partitions at run time; the plan is the same at every size.
     """
-    b = batch.dropDuplicates([part, key])
+    b = one_per_key(batch, key, part)
     if not _exists(spark, path):
         return b
-    existing = spark.read.parquet(path).select(part, key)
-    days = [r[0] for r in b.select(part).distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
-    if len(days) <= MAX_PRUNE_VALUES:
-        existing = existing.where(F.col(part).isin(days))
-    else:
-        existing = existing.join(b.select(part).distinct(), part, "left_semi")
+    existing = spark.read.parquet(path).select(part, key).join(batch.select(part).distinct(), part, "left_semi")
     return b.join(existing, [part, key], "left_anti")
 
 
