@@ -80,3 +80,17 @@ def test_roundtrip_orders(spark, sf_dir):
     assert flat.count() == li.count()
     assert flat.agg(F.sum("line_amount")).first()[0] == pytest.approx(
         li.agg(F.sum(F.col("l_quantity").cast("bigint") * F.col("l_extendedprice"))).first()[0])
+
+
+def test_suite_scans_a_model_once(spark):
+    """Two unique tests and one row-level test: one scan, right counts."""
+    path = scratch_path(spark, "suite_model")
+    rows = [(1, "a", None), (1, "b", "x"), (2, "b", "y"), (None, "b", "x"), (None, "c", "z")]
+    spark.createDataFrame(rows, "k int, v string, w string").write.parquet(path)
+    report = op.run_suite({"m": spark.read.parquet(path)}, [
+        op.ColumnTest("m", "k", "unique"), op.ColumnTest("m", "v", "unique"), op.ColumnTest("m", "k", "not_null"),
+        op.ColumnTest("m", "w", "accepted_values", ["x", "y"]), op.ColumnTest("m", "v", "not_null")])
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    assert sorted((r.column_name, r.test, r.failures) for r in report.collect()) == sorted(
+        [("k", "unique", 2), ("v", "unique", 3), ("k", "not_null", 2), ("w", "accepted_values", 1), ("v", "not_null", 0)])

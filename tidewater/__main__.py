@@ -18,7 +18,7 @@ import json
 from .plans import customers as cu
 from .plans import nested, weather
 from .plans.raw_load import load_raw_files
-from .session import build_session
+from .session import build_session, input_bytes, size_for_input
 from .sinks.tables import as_partitioned_table
 
 # model -> (required input names, plan)
@@ -64,6 +64,7 @@ def main(argv=None) -> int:
     missing = [n for n in needs if n not in paths]
     if missing:
         ap.error(f"{args.model} needs --input {' '.join(m + '=PATH' for m in missing)}")
+    size_for_input(spark, input_bytes(spark, *[paths[n] for n in needs]))
     out = plan({n: spark.read.parquet(paths[n]) for n in needs})
     if args.model in PARTITIONED:
         part, cluster = PARTITIONED[args.model]

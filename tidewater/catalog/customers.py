@@ -50,6 +50,28 @@ def customers_semi_raw(spark, sf_dir):
     return cu.stg_customers_semi_raw(semi)
 
 
+@register("scan_json_array_defaults", f"""
+WITH c AS (SELECT c_custkey AS k, c_name AS n FROM customer)
+SELECT CASE WHEN k % 7 = 0 THEN 0 WHEN k % 7 <> 1 THEN k END AS customer_id,
+       CASE WHEN k % 5 IN (0, 2) THEN '' WHEN k % 5 <> 1 THEN n END AS name,
+       CASE WHEN k % 3 = 0 THEN '' ELSE 'c' || k || '@example.org' END AS email,
+       '' AS signup_date, TIMESTAMP '{AS_OF}' AS loaded_at
+FROM c""")
+def scan_json_array_defaults(spark, sf_dir):
+    """SRC-4, PRJ-7, FN-18: arrays whose objects miss keys, hold JSON null or
+    hold empty text; only a missing key takes its default."""
+    k, n = F.col("c_custkey"), F.col("c_name")
+    member = lambda key, value: F.concat(F.lit(f'"{key}":'), value)
+    number = F.when(k % 7 == 1, member("id", F.lit("null"))).when(k % 7 != 0, member("id", k.cast("string")))
+    name = (F.when(k % 5 == 1, member("name", F.lit("null"))).when(k % 5 == 2, member("name", F.lit('""')))
+            .when(k % 5 != 0, member("name", F.concat(F.lit('"'), n, F.lit('"')))))
+    email = F.when(k % 3 != 0, member("email", F.concat(F.lit('"c'), k.cast("string"), F.lit('@example.org"'))))
+    item = F.concat(F.lit("{"), F.concat_ws(",", number, name, email), F.lit("}"))
+    docs = (_customer(spark, sf_dir).groupBy(F.floor(k / 50).alias("doc")).agg(F.collect_list(item).alias("items"))  # 50 items a document
+            .select(F.concat(F.lit("["), F.array_join("items", ","), F.lit("]")).alias("raw_json")))
+    return cu.semi_raw_rows(docs, loaded_at=AS_OF)
+
+
 @register("customers_script", f"""
 WITH o AS ({CUSTOMER_OBJECTS})
 SELECT id AS customer_id, {title('name')} AS customer_name, lower(email) AS customer_email,

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .session import input_bytes
+
 # Fixed values of the synthetic weather feed.
 WEATHER_BASE = "https://api.weather.example/v1/"
 HISTORY = "history.json"
@@ -344,14 +346,17 @@ def nation_documents(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 
 def land_weather_deliveries(spark: SparkSession, events: DataFrame, landing: str,
-                            files_per_delivery: int = 2) -> int:
+                            files_per_delivery: int | None = None) -> int:
     """Land the weather envelopes as parquet files in delivery order that is
     *not* fetch order: the newest history copies first, then the stale
     copies, then forecast calls and broken documents.  Returns the number of
-    files per delivery (use it as ``maxFilesPerTrigger``)."""
+    files per delivery (use it as ``maxFilesPerTrigger``): one per 64 MB of
+    staged envelopes, and one per core at least."""
     env = weather_envelopes(events)
     staged = f"{landing}_staged"
     env.withColumn("kind", F.hour("fetched_at")).write.mode("overwrite").partitionBy("kind").parquet(staged)
+    if files_per_delivery is None:
+        files_per_delivery = max(spark.sparkContext.defaultParallelism, -(-input_bytes(spark, staged) // (64 << 20)))
     for kinds in ((2,), (1,), (3, 4)):
         part = spark.read.parquet(staged).where(F.col("kind").isin(*kinds)).drop("kind")
         part.repartition(files_per_delivery).write.mode("append").parquet(landing)

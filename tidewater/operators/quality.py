@@ -58,33 +58,31 @@ def run_suite(models: dict, tests: list) -> DataFrame:
     records (for ``unique``/``accepted_values``: the rows carrying a failing
     value) and a pass/fail status.
 
-    One scan per model answers all its row-level tests (not_null,
-    accepted_values) with conditional counts; each ``unique`` test adds one
-    partially aggregated group-by.  No test re-reads a model on its own.
+    One scan per model answers all its tests: every row yields one (test,
+    value) pair per test (the column's value for ``unique``, a mark for a row
+    that fails a row-level test), pairs are counted with partial aggregation,
+    and the counts add up per test.
     """
-    parts = []
     by_model: dict = {}
     for i, t in enumerate(tests):
+        if t.test not in ("not_null", "accepted_values", "unique"):
+            raise ValueError(f"unknown test {t.test}")
         by_model.setdefault(t.model, []).append((i, t))
+
+    def cell(i, t):
+        value = F.col(t.column).cast("string") if t.test == "unique" else F.when(_failing(t), F.lit("fails"))
+        return F.struct(F.lit(i).alias("idx"), F.lit(t.test == "unique").alias("once"), value.alias("value"))
+
+    out = None
     for model, items in by_model.items():
-        df = models[model]
-        row_tests = [(i, t) for i, t in items if t.test in ("not_null", "accepted_values")]
-        if row_tests:
-            counts = df.agg(*[F.count(F.when(_failing(t), 1)).alias(f"t{i}") for i, t in row_tests])
-            stack = ", ".join(f"{i}, t{i}" for i, _ in row_tests)
-            parts.append(counts.selectExpr(f"stack({len(row_tests)}, {stack}) AS (idx, failures)"))
-        for i, t in items:
-            if t.test == "unique":
-                dup = unique(df, t.column).agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))
-                parts.append(dup.select(F.lit(i).alias("idx"), "failures"))
-            elif t.test not in ("not_null", "accepted_values"):
-                raise ValueError(f"unknown test {t.test}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        cells = models[model].select(F.explode(F.array(*[cell(i, t) for i, t in items])).alias("c"))
+        counts = cells.where("c.value is not null").groupBy("c.idx", "c.once", "c.value").agg(F.count(F.lit(1)).alias("n"))
+        part = counts.groupBy("idx").agg(F.sum(F.when(F.col("once") & (F.col("n") == 1), 0).otherwise(F.col("n"))).alias("failures"))
+        out = part if out is None else out.unionByName(part)
     spark = out.sparkSession
     meta = spark.createDataFrame([(i, t.model, t.column, t.test) for i, t in enumerate(tests)],
                                  "idx int, model string, column_name string, test string")
-    res = meta.join(F.broadcast(out.withColumn("idx", F.col("idx").cast("int"))), "idx")
-    return res.select("model", "column_name", "test", F.col("failures").cast("bigint").alias("failures"),
+    # one row per declared test with a failure
+    res = meta.join(F.broadcast(out), "idx", "left").withColumn("failures", F.coalesce("failures", F.lit(0)).cast("bigint"))
+    return res.select("model", "column_name", "test", "failures",
                       F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"))

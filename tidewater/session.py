@@ -48,12 +48,8 @@ def configure(spark: SparkSession, overrides: dict | None = None) -> SparkSessio
     """Apply the runtime SQL settings to an existing session (driver-provided);
     ``overrides`` win over the defaults."""
     for k, v in {**SESSION_DEFAULTS, **(overrides or {})}.items():
-        if k == "spark.ui.enabled":
-            continue
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf on a running session
-            pass
     return spark
 
 
