@@ -16,8 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import crf
 from .common import chunks, held_out
+from .crf import fit as fit_chain
+from .crf import forward_backward
 
 FIT_ROWS = 2_000       # labelled documents the model is fitted on, at most
 FIT_CHARS = 20_000_000  # their characters, at most
@@ -85,7 +86,7 @@ def _good_share(texts: list[str], weights: np.ndarray, trans: np.ndarray) -> np.
     if not texts:
         return np.zeros(0)
     features, length, sizes = line_features(texts)
-    good = crf.forward_backward(features @ weights, trans, sizes)[:, 1]
+    good = forward_backward(features @ weights, trans, sizes)[:, 1]
     weight = length + 1.0
     starts = np.cumsum(sizes) - sizes
     return np.add.reduceat(good * weight, starts) / np.add.reduceat(weight, starts)
@@ -99,7 +100,7 @@ def fit(texts: list[str], quality: list[int]) -> tuple[np.ndarray, np.ndarray, t
         one = float(quality.mean()) if len(quality) else 0.5
         return np.zeros((1, 2)), np.zeros((2, 2)), (0.0, 4.0 * (one - 0.5))
     features, _, sizes = line_features(texts)
-    weights, trans = crf.fit(features, np.repeat(quality, sizes), sizes, 2)
+    weights, trans = fit_chain(features, np.repeat(quality, sizes), sizes, 2)
     share = _good_share(texts, weights, trans)
     a, b = 1.0, 0.0
     for _ in range(50):  # Newton's method for the logistic curve, slightly regularised

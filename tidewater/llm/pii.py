@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from . import crf
 from .common import chunks
+from .crf import fit, viterbi
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = ("other", *KINDS)
@@ -189,7 +189,7 @@ class Tagger:
         last[np.cumsum(sizes)[sizes > 0] - 1] = True
         own[1:] += np.where(last[:-1, None], 0, self.scores[at[:-1], k:2 * k])  # the token before
         own[:-1] += np.where(last[:-1, None], 0, self.scores[at[1:], 2 * k:])   # the token after
-        return crf.viterbi(own, self.trans, sizes)
+        return viterbi(own, self.trans, sizes)
 
 
 def train(lines: list[list[tuple[str, str]]] | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -202,7 +202,7 @@ def train(lines: list[list[tuple[str, str]]] | None = None) -> tuple[np.ndarray,
     before = np.where(first[:, None], 0, np.roll(own, 1, axis=0))
     after = np.where(np.r_[first[1:], True][:, None], 0, np.roll(own, -1, axis=0))
     tags = np.array([TAGS.index(tag) for x in lines for _, tag in x])
-    return crf.fit(np.hstack([own, before, after]), tags, sizes, len(TAGS), steps=200)
+    return fit(np.hstack([own, before, after]), tags, sizes, len(TAGS), steps=200)
 
 
 def _holds(kind: str, text: str) -> bool:

@@ -170,12 +170,13 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
 
 def _apply(rows: DataFrame, cascade: list[Level], blocks: list[Level]) -> DataFrame:
     """The longest listed candidate of each row, if longer than its rule so far."""
-    levels = rows.sparkSession.sparkContext.broadcast((cascade, blocks))
+    # plain values: a broadcast is unpickled by executors without this package
+    levels = rows.sparkSession.sparkContext.broadcast([[(x.bits, x.size, x.seed) for x in c] for c in (cascade, blocks)])
     with_keys = rows.withColumn("keys", F.transform("texts", _key))
     held = [f for f in rows.schema if f.name != "texts"]
 
     def run(batches):
-        inside, blocking = levels.value
+        inside, blocking = ([Level(*x) for x in c] for c in levels.value)
         for batch in batches:
             lists = batch.column("keys")
             keys = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
@@ -189,7 +190,7 @@ def _apply(rows: DataFrame, cascade: list[Level], blocks: list[Level]) -> DataFr
                 if rule[row] is None or (len(text), text) > (len(rule[row]), rule[row]):
                     rule[row], verdict[row] = text, "block" if is_block else "allow"
             done = {"rule": pa.array(rule, pa.string()), "verdict": pa.array(verdict, pa.string())}
-            yield pa.RecordBatch.from_arrays([done.get(n, batch.column(n)) if n in done else batch.column(n) for n in names], names)
+            yield pa.RecordBatch.from_arrays([done[n] if n in done else batch.column(n) for n in names], names)
 
     names = [f.name for f in held] + ["texts"]
     return with_keys.mapInArrow(run, rows.select(*names).schema)
