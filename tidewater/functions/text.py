@@ -15,11 +15,11 @@ def _c(c):
 INITCAP_DELIMITERS = " []{}()/|\\<>!?@\"^#$&~_,.:;*%+-"
 
 
-def _capitalise_after(s: Column, boundary_regex: str) -> Column:
+def _capitalise_after(s: Column, boundary_regex: str, head=F.upper) -> Column:
     # Split before every character that follows a boundary character
     # (zero-width look-behind), upper-case the first character of each piece.
     pieces = F.split(s, boundary_regex)
-    fixed = F.transform(pieces, lambda w: F.concat(F.upper(F.substring(w, 1, 1)),
+    fixed = F.transform(pieces, lambda w: F.concat(head(F.substring(w, 1, 1)),
                                                    F.substring(w, 2, 1 << 30)))
     return F.array_join(fixed, "")
 
@@ -33,11 +33,19 @@ def initcap_sql(c) -> Column:
     return _capitalise_after(F.lower(_c(c)), f"(?<=[\\s{esc}])")
 
 
+def _title_case(letter: Column) -> Column:
+    """Title case of one letter: only the first of several capitals stays one
+    (``ß`` -> ``Ss``), and double letters have a form of their own."""
+    upper = F.upper(letter)
+    # fixed values: the capital and title forms of the four double letters
+    return F.translate(F.concat(F.substring(upper, 1, 1), F.lower(F.substring(upper, 2, 8))), "ǄǇǊǱ", "ǅǈǋǲ")
+
+
 def title_python(c) -> Column:
     """FN-14: Python ``str.title()``: a letter is upper-cased when the
     previous character is not a cased letter, every other letter is
     lower-cased (``o'neil`` -> ``O'Neil``, ``a1b`` -> ``A1B``)."""
-    return _capitalise_after(F.lower(_c(c)), r"(?<![\p{Lu}\p{Ll}\p{Lt}])")
+    return _capitalise_after(F.lower(_c(c)), r"(?<![\p{Lu}\p{Ll}\p{Lt}])", _title_case)
 
 
 def lower(c) -> Column:
