@@ -1,6 +1,7 @@
 """Quality rules against plain counting, and the ratio against its definition."""
 
 import math
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -46,7 +47,28 @@ def test_junk_goes_and_clean_stays(spark):
     clean = [r.kept for r in rows if r.quality == 1]
     junk = [r.kept for r in rows if r.quality == 0]
     assert sum(clean) >= 0.99 * len(clean)
-    assert sum(junk) <= 0.6 * len(junk)
+    assert sum(junk) <= 0.5 * len(junk)
+
+
+def test_threshold_follows_the_labels(spark):
+    """Junk in part, rated above -0.4, goes; repeats of texts change nothing."""
+    rnd = random.Random(1)
+    clean = [" ".join(f"c{rnd.randrange(30)}" for _ in range(20)) for _ in range(40)]
+    junk = [" ".join(clean[i].split()[:14] + [f"j{i}x{j}" for j in range(6)]) for i in range(10)]
+    docs = documents(spark, clean + junk + [clean[3]] * 200)
+    labels = spark.createDataFrame([(i, int(i < 40), 0) for i in range(50)], "doc_id bigint, quality int, toxic int")
+    rows = Q.quality_report(docs, labels).collect()
+    assert all(r.kept == (r.doc_id < 40 or r.doc_id >= 50) for r in rows)
+    assert any(r.llr > -0.4 for r in rows if 40 <= r.doc_id < 50)
+    assert sorted(r.doc_id for r in Q.keep_good(docs, labels).collect()) == [r for r in range(250) if not 40 <= r < 50]
+    once = {r.doc_id: (r.llr, r.kept) for r in Q.quality_report(docs.where("doc_id < 50"), labels).collect()}
+    assert once == {r.doc_id: (r.llr, r.kept) for r in rows if r.doc_id < 50}
+
+
+def test_separating_threshold():
+    assert Q.separating([(1, -20, 5), (1, 10, 90), (0, -200, 3), (0, 0, 2)]) == (-199 - 20) / 2 / Q.STEPS
+    assert Q.separating([(1, -300, 1), (1, -20, 2999), (0, -100, 1)]) == (-99 - 20) / 2 / Q.STEPS
+    assert Q.separating([(1, 5, 1)]) == Q.separating([(0, 5, 1)]) == Q.THRESHOLD
 
 
 def test_clashing_columns_and_empty_tables(spark):

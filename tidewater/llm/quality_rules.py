@@ -2,10 +2,11 @@
 
 Word uni- and bigrams hash into ``BUCKETS`` features.  Their log-likelihood
 ratio between a trusted target (documents labelled good) and the raw corpus,
-divided by the number of n-grams, rates every document; a fixed threshold
-decides.  The raw counts cover all documents; the target is a bounded sample
-of labelled rows.  What travels to every task is one ratio per bucket, so its
-size depends on ``BUCKETS`` alone.
+divided by the number of n-grams, rates every document; a threshold that
+follows from the ratings of all labelled documents decides.  The raw counts
+cover the texts of all documents, each distinct text once, so copies do not
+move them; the target is a bounded sample of labelled rows.  What travels to
+every task is one ratio per bucket, so its size depends on ``BUCKETS`` alone.
 
 A document is rated inside its own row with array functions: no document is
 exploded into a shuffle, and no join brings its parts together again.
@@ -19,11 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import whole_text
+from .common import materialise, whole_text
 
 BUCKETS = 8192            # hashed n-gram features, a power of two
 TRUSTED_ROWS = 20_000     # labelled rows the target is fitted on, at most
-THRESHOLD = -0.4          # smallest mean log ratio of a document that is kept
+THRESHOLD = -0.4          # smallest mean log ratio that is kept where labels give no threshold
+GOOD_LOST = 1000          # one of so many distinct texts labelled good may be rejected, at most
+STEPS = 1000              # steps of the labelled ratings' histogram in one unit of the ratio
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 WINDOW = 5
@@ -58,12 +61,14 @@ def with_grams(docs: DataFrame, *keep: str) -> DataFrame:
 
 def log_ratios(docs: DataFrame, trusted_ids: DataFrame) -> list[float]:
     """The log ratio of each bucket, add-one smoothed, rounded to 6 decimals.
+    Equal texts count once, as trusted if one of them is.
 
     ``trusted_ids`` (doc_id) has ``TRUSTED_ROWS`` rows at most.  Without any
     trusted document all ratios are 0.
     """
     marks = F.broadcast(trusted_ids.select("doc_id", F.lit(1).alias("trusted")))
-    grams = with_grams(docs.select("doc_id", "text").join(marks, "doc_id", "left").select("trusted", "text"), "trusted")
+    texts = docs.select("doc_id", "text").join(marks, "doc_id", "left").groupBy("text").agg(F.max("trusted").alias("trusted"))
+    grams = with_grams(texts, "trusted")
     counts = (grams.select("trusted", F.explode(F.concat("hashes", "pairs")).alias("gram"))
               .groupBy(_bucket(F.col("gram")).alias("bucket"))
               .agg(F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("target"))
@@ -127,14 +132,49 @@ def rate(docs: DataFrame, ratios: list[float], *keep: str, threshold: float = TH
             .withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)))
 
 
-def quality_report(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def separating(steps: list[tuple[int, int, int]]) -> float:
+    """The threshold from (quality, step, texts): of those that reject one in
+    ``GOOD_LOST`` good texts at most the highest, lowered halfway to the next
+    bad text below it.  ``THRESHOLD`` if either label has no text."""
+    good = sorted((step, n) for quality, step, n in steps if quality == 1)
+    bad = [step for quality, step, _ in steps if quality == 0]
+    if not good or not bad:
+        return THRESHOLD
+    spare = sum(n for _, n in good) // GOOD_LOST
+    for lowest, n in good:
+        spare -= n
+        if spare < 0:
+            break
+    below = max((step + 1 for step in bad if step < lowest), default=lowest)
+    return (below + lowest) / 2 / STEPS
+
+
+def labelled_threshold(rated: DataFrame, labels: DataFrame) -> float:
+    """The threshold from all labelled documents that pass the base rules, each
+    distinct text once; ``rated`` has doc_id, sha, base_failed and llr."""
+    marks = labels.where(F.col("quality").isin(0, 1)).select("doc_id", "quality").distinct()
+    texts = rated.where(~F.col("base_failed")).join(marks, "doc_id").select("quality", "sha", "llr").distinct()
+    steps = texts.groupBy("quality", F.floor(F.col("llr") * STEPS).alias("step")).count()
+    return separating([tuple(r) for r in steps.collect()])  # one row per label and step
+
+
+def _rated(docs: DataFrame, ratios: list[float]) -> DataFrame:
+    rows = docs.select("doc_id", "text", F.sha2(F.encode(whole_text(), "UTF-8"), 256).alias("sha"))
+    return materialise(rate(rows, ratios, "doc_id", "sha").drop("kept"), "quality-rated")
+
+
+def quality_report(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
     """doc_id and the columns of ``rate`` for every document.  A doc_id that is
-    repeated or null is rated row by row; other columns are ignored."""
-    return rate(docs, log_ratios(docs, trusted_sample(labels)), "doc_id", threshold=threshold)
+    repeated or null is rated row by row; other columns are ignored.  Without a
+    ``threshold`` the labelled documents give it."""
+    rated = _rated(docs, log_ratios(docs, trusted_sample(labels)))
+    threshold = labelled_threshold(rated, labels) if threshold is None else threshold
+    return rated.drop("sha").withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
     ratios = log_ratios(docs, trusted_sample(labels))
+    threshold = labelled_threshold(_rated(docs, ratios), labels) if threshold is None else threshold
     rows = docs.select(F.struct("*").alias("row"), "text")
     return rate(rows, ratios, "row", threshold=threshold).where("kept").select("row.*")
