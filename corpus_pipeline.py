@@ -28,9 +28,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
+def encode_in_order(docs: DataFrame) -> DataFrame:
+    """Sub-word counts and digests of every document and its ``position`` in
+    the mixture, in that order; ``docs`` is read from the mixture's files."""
+    return sentencepiece.encode_report(mixing.written_order(docs, "doc_id", "text"), keep=("position",))
+
+
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sub-word counts and digests of every document."""
-    return sentencepiece.encode_report(docs)
+    """Sub-word counts and digests of every document, in mixture order."""
+    return encode_in_order(docs).drop("position")
 
 
 STAGES = [
@@ -47,8 +53,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply every stage to ``documents``; each result is written below the
-    shared folder and read again."""
+    shared folder and read again.  ``position`` counts the rows of the result
+    in mixture order."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return encode_in_order(docs)

@@ -1,11 +1,13 @@
 """The pipeline against its stages' own brute-force versions, and its shape."""
 
+import random
+
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from brute import base_rules, clash, documents, exact_groups
+from brute import DOCS, base_rules, clash, documents, exact_groups
 from test_simhash import brute
-from tidewater.llm import quality_rules as Q
+from tidewater.llm import mixing, quality_rules as Q
 
 CLEAN = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(12)]
 TEXTS = CLEAN + [CLEAN[0] + " ", CLEAN[1], CLEAN[2].upper(), None, "", "too short", "r s t u v " * 30]
@@ -37,6 +39,23 @@ def test_stages_over_a_small_corpus(spark, tmp_path):
     assert at.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
+def test_rows_come_in_mixture_order(spark, tmp_path):
+    """The order of the result is the schedule's, also where a reader packs the
+    mixture's files by size; labels keep every document."""
+    rnd = random.Random(5)
+    rows = [(i, " ".join(f"v{rnd.randrange(10**6)}" for _ in range(20 + 40 * (i % 7))), "en", "abbcccc"[i * 5 % 7], 1) for i in range(600)]
+    docs = spark.createDataFrame(rows, DOCS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    want = [r.doc_id for r in mixing.mixing_plan(docs).orderBy("slot", "place").collect()]
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert [r.doc_id for r in got] == want and want != sorted(want)
+    assert [r.position for r in got] == list(range(600))
+    mixing.mixed(docs).write.option("maxRecordsPerFile", 7).parquet(f"{tmp_path}/mixed")
+    last = corpus_pipeline.encode_pieces(spark, spark.read.parquet(f"{tmp_path}/mixed"), str(tmp_path))
+    assert [r.doc_id for r in last.collect()] == want
+
+
 def test_empty_corpus(spark, tmp_path):
     documents(spark, ["x"]).where(F.lit(False)).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")

@@ -129,3 +129,18 @@ def mixed(docs: DataFrame, weights: dict[str, int] | None = None, block_docs: in
     rows = docs.select(F.struct("*").alias("row"), "doc_id", "source")
     out = _scheduled(rows, weights, block_docs, "row")
     return out.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place", "_s").select("row.*")
+
+
+def written_order(docs: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and ``position`` (0, 1, ... over all rows) of a frame read from
+    the files of ``mixed``, in that order: a reader packs files by size, so the
+    order comes from the number of the file and the row's place in it."""
+    meta = docs.metadataColumn("_metadata")
+    part = F.regexp_extract(meta["file_name"], r"^part-(\d+)", 1).cast("bigint")
+    rows = docs.select(*keep, part.alias("_part"), meta["file_name"].alias("_file"), meta["row_index"].alias("_row"))
+    # One row per file.
+    files = rows.groupBy("_part", "_file").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("_part", "_file").rowsBetween(Window.unboundedPreceding, -1))
+    files = files.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
+    out = rows.join(F.broadcast(files), "_file").select(*keep, (F.col("_before") + F.col("_row")).alias("position"))
+    return out.repartitionByRange("position").sortWithinPartitions("position")

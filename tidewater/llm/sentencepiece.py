@@ -238,6 +238,8 @@ def _task(model, lengths_only: bool):
                     out["ids_sha256"] = pa.array([_digest(",".join(map(encoder.ids.__getitem__, ws))) for ws in split], pa.string())
                     out["decoded_sha256"] = pa.array(
                         [_digest("".join(map(encoder.decoded.__getitem__, ws)).removeprefix(" ")) for ws in split], pa.string())
+                for name, column in zip(batch.schema.names[2:], batch.columns[2:], strict=True):
+                    out[name] = column.slice(a, b - a)
                 yield pa.RecordBatch.from_pydict(out)
     return run
 
@@ -247,15 +249,16 @@ def _model_for(spark: SparkSession, path: str | None):
     return spark.sparkContext.broadcast(read_model(path or default_model()))
 
 
-def encode_report(docs: DataFrame, model_path: str | None = None) -> DataFrame:
-    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256.
+def encode_report(docs: DataFrame, model_path: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and
+    the columns ``keep``, in the order of the rows of each partition.
 
     Null text counts as empty: no tokens, digests of the empty string.  Rows
     that repeat a doc_id are encoded one by one; other columns are ignored.
     """
     model = _model_for(docs.sparkSession, model_path)
-    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"])
-    return rows.mapInArrow(_task(model, False), RESULT)
+    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"], *keep)
+    return rows.mapInArrow(_task(model, False), T.StructType(RESULT.fields + [docs.schema[c] for c in keep]))
 
 
 def token_lengths(docs: DataFrame, model_path: str | None = None) -> DataFrame:
