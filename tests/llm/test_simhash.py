@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -94,6 +95,37 @@ def test_ring_of_segments_loses_no_link(spark, block):
     assert {x: roots.get(x, x) for x in signed} == want
 
 
+def _hot_neighbour():
+    """3 fingerprints under one 32-bit key, 400 under a key one bit away."""
+    rnd = random.Random(4)
+    prints = {i * 7 << 32 | 0x00050000 for i in range(3)} | {rnd.getrandbits(12) << 40 | rnd.getrandbits(8) << 32 | 0x00070000 for _ in range(400)}
+    return np.array(sorted(prints), np.uint64)
+
+
+def test_lookups_of_a_hot_neighbour_are_cut_into_blocks(spark):
+    at = _hot_neighbour()
+    prints = spark.createDataFrame([(x,) for x in at.view(np.int64).tolist()], "fp bigint")
+    groups = S._dealt(prints, 16).groupBy("key", "own", "other", "probe").count()
+    assert max(r["count"] for r in groups.collect()) <= 4 * 16
+    signed = at.view(np.int64).tolist()
+    edges = [(signed[i], signed[int(j) + i + 1]) for i in range(len(at)) for j in np.flatnonzero(np.bitwise_count(at[i + 1:] ^ at[i]) <= 3)]
+    assert edges and union(signed, [(r.a, r.b) for r in S.near_links(prints, 16).collect()]) == union(signed, edges)
+
+
+def test_one_group_is_compared_in_slices(monkeypatch):
+    at, seen, within = _hot_neighbour().view(np.int64), [], S._within_budget
+    monkeypatch.setattr(S, "BLOCK", 8)
+    monkeypatch.setattr(S, "_within_budget", lambda key, x: seen.append(len(x)) or within(key, x))
+    fp, probe = np.r_[at[:100], at], np.r_[np.zeros(100, np.int32), np.ones(len(at), np.int32)]
+    zero = pa.array(np.zeros(len(fp), np.int64))
+    batch = pa.RecordBatch.from_arrays([zero, zero, zero, pa.array(probe), pa.array(fp)], ["key", "own", "other", "probe", "fp"])
+    got = [(x, y) for out in S._compare([batch]) for x, y in zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True)]
+    assert sum(seen) == 100 * len(at) and max(seen) <= 4 * 8 * 8
+    key = np.zeros(len(at), np.int64)
+    edges = [(int(at[i]), int(at[j])) for i in range(100) for j in np.flatnonzero(within(key, (at ^ at[i]).view(np.uint64)))]
+    assert union(at.tolist(), got) == union(at.tolist(), edges)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(-5, 200), (200, -9), (300, 300)]
     got = {r.node: r.root for r in smallest_reachable(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

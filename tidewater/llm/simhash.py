@@ -9,9 +9,10 @@ under its own pairs of neighbouring segments and looks up those that differ by
 at most one bit in the second.  What meets under a key goes through the third
 link and then the full Hamming check.
 
-A key with many fingerprints is cut into blocks, and each pair of blocks is
-compared apart; a pair of blocks returns a spanning forest of its links, so
-the output grows with the fingerprints and not with their pairs.
+The stored fingerprints of a key and its lookups are cut into blocks, each
+side by its own number, and each pair of blocks is compared apart, a bounded
+number of pairs at once; a pair of blocks returns a spanning forest of its
+links, so the output grows with the fingerprints and not with their pairs.
 """
 
 from __future__ import annotations
@@ -116,20 +117,29 @@ def _compare(batches):
         stored = np.add.reduceat((probe == 0).astype(np.int64), first)
         looks = last - first - stored
         some = np.flatnonzero((stored > 0) & (looks > 0))
-        out_a, out_b, at = [], [], 0
-        while at < len(some):
-            pairs = np.cumsum(stored[some[at:]] * looks[some[at:]])
-            upto = at + max(1, int(np.searchsorted(pairs, 4 * BLOCK * BLOCK, side="right")))
-            g = some[at:upto]
-            look = np.repeat(first[g] + stored[g], looks[g]) + _counting(looks[g])
-            size = np.repeat(stored[g], looks[g])
+        # A group's lookups come in slices of at most ``most`` pairs (one lookup at least).
+        most = 4 * BLOCK * BLOCK
+        step = np.maximum(1, most // stored[some])
+        slices = -(-looks[some] // step)
+        group, nth = np.repeat(some, slices), _counting(slices)
+        step = np.repeat(step, slices)
+        begin = first[group] + stored[group] + nth * step
+        count = np.minimum(step, looks[group] - nth * step)
+        pairs = np.cumsum(stored[group] * count)
+        a = b = np.zeros(0, np.int64)
+        at = done = 0
+        while at < len(group):
+            upto = at + max(1, int(np.searchsorted(pairs[at:], done + most, side="right")))
+            g, n = group[at:upto], count[at:upto]
+            look = np.repeat(begin[at:upto], n) + _counting(n)
+            size = np.repeat(stored[g], n)
             left = np.repeat(look, size)
-            right = np.repeat(np.repeat(first[g], looks[g]), size) + _counting(size)
+            right = np.repeat(np.repeat(first[g], n), size) + _counting(size)
             ok = _within_budget(key[left], (fp[left] ^ fp[right]).view(np.uint64))
-            out_a.append(fp[left[ok]])
-            out_b.append(fp[right[ok]])
-            at = upto
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
+            a, b = np.r_[a, fp[left[ok]]], np.r_[b, fp[right[ok]]]
+            if len(a) > BLOCK * BLOCK:
+                a, b = _forest(a, b)
+            at, done = upto, pairs[upto - 1]
         if len(a):
             a, b = _forest(a, b)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -155,27 +165,39 @@ def _counting(sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def near_links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Links a, b that connect all fingerprints (column fp, distinct) at most
-    MAX_BITS apart: every two such fingerprints are joined by a path."""
+def _dealt(prints: DataFrame, block: int) -> DataFrame:
+    """key, own (block of stored fingerprints), other (block of lookups),
+    probe (0 stored, 1 lookup), fp."""
     stored = prints.select("fp", _keys(F.col("fp"), False).alias("key"))
     looks = prints.select("fp", _keys(F.col("fp"), True).alias("key"))
     sizes = stored.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    many = materialise(sizes.where(F.col("n") > block).select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "simhash-many")
+    # A key's lookups are what is stored under it and the keys one bit away in
+    # the second segment.  Those with few each add less than one block in all.
+    around = F.explode(F.array(F.col("key"), *[F.col("key").bitwiseXOR(F.lit(1 << bit)) for bit in range(SEGMENT_BITS)]))
+    warm = materialise(sizes.where(F.col("n") * (SEGMENT_BITS + 1) > block), "simhash-warm")
+    looked = warm.select(around.alias("key"), "n").groupBy("key").agg(F.sum("n").alias("m"))
+    blocks = lambda c: F.ceil(F.col(c) / block).cast("int")
+    many = materialise(looked.where(F.col("m") > block).join(sizes, "key", "left")
+                       .select("key", F.coalesce(blocks("n"), F.lit(1)).alias("owns"), blocks("m").alias("others")), "simhash-many")
 
     def dealt(rows, probe: int):
-        mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        own, other = (mine, every) if not probe else (every, mine)
-        rows = rows.join(many, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        mine, every = ("others", "owns") if probe else ("owns", "others")
+        rows = rows.join(many, "key", "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("owns", "others")})
+        mine = F.pmod(F.xxhash64("fp"), F.col(mine)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(every) - 1))
+        own, other = (every, mine) if probe else (mine, every)
         return rows.withColumn("own", own).withColumn("other", other).select("key", "own", "other", F.lit(probe).alias("probe"), "fp")
 
     if many.isEmpty():
         plain = lambda rows, probe: rows.select("key", F.lit(0).alias("own"), F.lit(0).alias("other"), F.lit(probe).alias("probe"), "fp")
-        rows = plain(stored, 0).union(plain(looks, 1))
-    else:
-        rows = dealt(stored, 0).union(dealt(looks, 1))
-    return (rows.repartition("key", "own", "other").sortWithinPartitions("key", "own", "other", "probe")
+        return plain(stored, 0).union(plain(looks, 1))
+    return dealt(stored, 0).union(dealt(looks, 1))
+
+
+def near_links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Links a, b that connect all fingerprints (column fp, distinct) at most
+    MAX_BITS apart: every two such fingerprints are joined by a path."""
+    return (_dealt(prints, block).repartition("key", "own", "other").sortWithinPartitions("key", "own", "other", "probe")
             .mapInArrow(_compare, "a bigint, b bigint"))
 
 
