@@ -72,6 +72,17 @@ def test_null_and_repeated_ids(spark):
     assert sum(r.doc_id is None for r in S.near_groups(docs).collect()) == 2
 
 
+def test_one_row_per_component_with_null_and_repeated_ids(spark):
+    """Id 5 has a text that stays and a near copy of id 1's; null ids hold a
+    near copy of id 1's text and a text of their own."""
+    words = [[f"{c}{i}" for i in range(400)] for c in "abcd"]
+    a, b, c, d = (" ".join(w) for w in words)
+    rows = [(1, a), (5, a + " "), (5, b), (None, a + "  "), (None, c), (None, c + " "), (8, d), (8, d + " "), (8, d), (9, d)]
+    docs = spark.createDataFrame([(i, t, None, None, 1) for i, t in rows], DOCS)
+    got = [(r.doc_id, r.text.strip()) for r in S.drop_near_copies(docs.repartition(3)).collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (5, b), (None, c), (8, d)], key=str)
+
+
 @pytest.mark.parametrize("block", [1024, 16])
 def test_ring_of_segments_loses_no_link(spark, block):
     """Fingerprints with one to six bits changed, in clusters; with small

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, materialise
+from .common import chunks, materialise, whole_text
 from .components import smallest_reachable
 
 SHINGLE_WORDS = 3
@@ -56,15 +56,18 @@ def fingerprint_batch(texts: list[str | None], words_per_shingle: int = SHINGLE_
     return out
 
 
-def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fingerprint (as a signed long) of every row; null text counts as empty."""
+def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, *keep: str) -> DataFrame:
+    """doc_id, fingerprint (as a signed long) and the string columns ``keep`` of
+    every row; null text counts as empty."""
     def run(batches):
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in chunks(texts):
                 prints = fingerprint_batch(texts[a:b], words_per_shingle).view(np.int64)
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(prints)], ["doc_id", "fp"])
-    return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"]).mapInArrow(run, "doc_id bigint, fp bigint")
+                kept = [c.slice(a, b - a) for c in batch.columns[2:]]
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(prints), *kept], ["doc_id", "fp", *keep])
+    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"], *keep)
+    return rows.mapInArrow(run, ", ".join(["doc_id bigint, fp bigint", *[f"{c} string" for c in keep]]))
 
 
 def _segment(fp, i: int):
@@ -202,12 +205,13 @@ def near_links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def _groups(rows: DataFrame) -> DataFrame:
-    """fp, component_id for the distinct fingerprints of ``rows`` (doc_id, fp)."""
+    """fp, root (a fingerprint of the component, the same for all of its
+    members) and component_id for the distinct fingerprints of ``rows`` (doc_id, fp)."""
     nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     roots = smallest_reachable(near_links(nodes.select("fp")))
     placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return placed.join(least, "root").select("fp", "component_id")
+    return placed.join(least, "root").select("fp", "root", "component_id")
 
 
 def near_groups(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
@@ -224,10 +228,16 @@ def near_groups(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> Data
 
 
 def drop_near_copies(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """The document with the smallest doc_id of each component, with the
-    columns of ``docs``; of rows repeated with that id, all with a text in it."""
-    rows = materialise(fingerprints(docs, words_per_shingle), "simhash-rows")
-    first = (rows.join(_groups(rows), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .select(F.col("doc_id").alias("id")).distinct())
-    packed = docs.select(F.struct("*").alias("row"))
-    return packed.join(first, F.col("row.doc_id").eqNullSafe(F.col("id")), "left_semi").select("row.*")
+    """One row of each component, with the columns of ``docs``: the one with the
+    smallest doc_id, null ids last; of rows that repeat it the one with the
+    smallest fingerprint, then the smallest hash of id and text."""
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.col("text"))
+    held = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), whole_text())
+    packed = packed.withColumn("_mark", F.sha2(F.encode(held, "UTF-8"), 256))
+    rows = materialise(fingerprints(packed, words_per_shingle, "_mark"), "simhash-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "_mark")
+    # Copies of a row collapse first, so a large component leaves few rows.
+    first = (rows.distinct().join(_groups(rows), "fp").groupBy("root").agg(F.min(order).alias("first"))
+             .select(F.col("first._mark").alias("_mark")))
+    return (packed.select("row", "_mark").join(first, "_mark", "left_semi")
+            .dropDuplicates(["_mark"]).select("row.*"))
