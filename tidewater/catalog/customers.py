@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
+from ..operators import explode_tolerant, quarantine
 from ..plans import customers as cu
 from ..session import configure, ensure_local_dir, scratch_path
 from .registry import register
@@ -41,6 +42,27 @@ def customers_tolerant(spark, sf_dir):
     return cu.stg_customers_tolerant(fx.customer_documents_dirty(_customer(spark, sf_dir)))
 
 
+@register("document_quarantine", f"""
+WITH o AS ({CUSTOMER_OBJECTS}),
+b AS (SELECT CAST(floor(id / 100) AS BIGINT) AS blk, count(*) AS objects FROM o GROUP BY 1)
+SELECT 'data/customers_' || blk || '.json' AS source,
+       CASE WHEN blk % 4 = 0 THEN objects END AS objects,
+       CASE WHEN blk % 4 <> 0 THEN 'the text is not one JSON document' END AS reason
+FROM b""")
+def document_quarantine(spark, sf_dir):
+    """LAT-5 + SRC-2 by document form: whole arrays are loaded item by item;
+    text behind an array, two arrays and cut arrays go to the quarantine with
+    their reason, none of them half loaded."""
+    docs = fx.customer_documents(_customer(spark, sf_dir))
+    t, form = F.col("raw_json"), F.regexp_extract("source", "([0-9]+)", 1).cast("bigint") % 4
+    docs = docs.select("source", F.when(form == 1, F.concat(t, F.lit(" oops"))).when(form == 2, F.concat(t, t))
+                       .when(form == 3, F.rtrim(t, F.lit("]"))).otherwise(t).alias("raw_json"))
+    loaded = explode_tolerant(docs, keep=["source"]).groupBy("source").agg(F.count(F.lit(1)).alias("objects"))
+    rejected = quarantine(docs, keep=["source"])
+    return loaded.select("source", "objects", F.lit(None).cast("string").alias("reason")).unionByName(
+        rejected.select("source", F.lit(None).cast("bigint").alias("objects"), "reason"))
+
+
 @register("customers_semi_raw", f"""
 WITH o AS ({CUSTOMER_OBJECTS})
 SELECT name AS full_name, CAST(signup_date AS DATE) AS signup FROM o""")

@@ -17,14 +17,109 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Strict JSON: no single quotes, no NaN/Infinity literals (as parse_json);
+# strings as long as a text can be.
+STRICT_JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "maxStringLen": str(2 ** 31 - 1)}
+
+# A VARIANT holds 128 MiB; its encoding takes less than four times the text.
+VARIANT_BYTES = 128 << 20
+_LARGE_TEXT = VARIANT_BYTES // 4
+
+
+def _end_mark(text: Column) -> Column:
+    """A text's own hash as digits: what follows a whole document below."""
+    return F.xxhash64(text).cast("string")
+
+
+def _with_end(text: Column, shape: str, before: str = '"', after: str = '"') -> Column:
+    """Parse ``text`` followed by its end mark as one array.
+
+    The parser stops at the end of a value and would accept text behind it.
+    Inside ``[text, mark]`` such text breaks the array or displaces the mark,
+    so a parse of two items whose second is the mark is exact, in one pass."""
+    return F.from_json(F.concat(F.lit("["), text, F.lit("," + before), _end_mark(text), F.lit(after + "]")),
+                       f"array<{shape}>", STRICT_JSON_OPTIONS)
+
+
 def safe_parse(text: ColumnOrName) -> Column:
-    """FN-1: text -> VARIANT, unparsable or NULL text -> NULL."""
-    return F.try_parse_json(_c(text))
+    """FN-1: text -> VARIANT; NULL for NULL text and for text that is not
+    exactly one JSON document (text behind the document makes it bad)."""
+    t = _c(text)
+    items = _with_end(t, "variant")
+    whole = (F.size(items) == 2) & (F.try_variant_get(F.get(items, F.lit(1)), "$", "string") == _end_mark(t))
+    return F.when(whole, F.coalesce(F.get(items, F.lit(0)), F.parse_json(F.lit("null"))))
 
 
 def strict_parse(text: ColumnOrName) -> Column:
-    """FN-2: text -> VARIANT, unparsable text fails the query."""
-    return F.parse_json(_c(text))
+    """FN-2: text -> VARIANT; text that is not exactly one JSON document fails
+    the query."""
+    t = _c(text)
+    return F.when(t.isNotNull(), F.coalesce(safe_parse(t), F.raise_error(F.lit(NOT_ONE_DOCUMENT)).cast("variant")))
+
+
+NOT_ONE_DOCUMENT = "the text is not one JSON document"
+
+
+def root_items(text: ColumnOrName) -> Column:
+    """Items of the JSON array that is the whole text, as ARRAY<VARIANT>; NULL
+    for other text.  Every item is a VARIANT of its own, so the array may be
+    larger than one VARIANT can be."""
+    t = _c(text)
+    parsed = _with_end(t, "array<variant>", '["', '"]')
+    mark = F.try_variant_get(F.get(F.get(parsed, F.lit(1)), F.lit(0)), "$", "string")
+    return F.when((F.size(parsed) == 2) & (mark == _end_mark(t)), F.get(parsed, F.lit(0)))
+
+
+def _item_texts(text: Column) -> Column:
+    """Items of the JSON array that is the whole text, as JSON texts (strings
+    without their quotes)."""
+    parsed = _with_end(text, "array<string>", '["', '"]')
+    whole = (F.size(parsed) == 2) & (F.get(F.get(parsed, F.lit(1)), F.lit(0)) == _end_mark(text))
+    return F.when(whole, F.get(parsed, F.lit(0)))
+
+
+def _may_exceed_variant(text: Column) -> Column:
+    return F.octet_length(text) >= _LARGE_TEXT
+
+
+def _string_like_object(text: Column) -> Column:
+    """True where a string of the document starts like an object: among item
+    texts the two could not be told apart."""
+    return text.contains('"{')
+
+
+def document_objects(text: ColumnOrName) -> Column:
+    """LAT-5 item list of a document's text: array root -> its items, object
+    root -> [root], anything else (scalar, NULL, bad text) -> no items.
+
+    Where an item of a large array exceeds a VARIANT, the array's objects are
+    parsed one by one: the exceeding ones are NULL here (``oversized_items``
+    names them), the others stay."""
+    t = _c(text)
+    kind = text_kind(t)
+    one_by_one = F.transform(F.filter(_item_texts(t), lambda s: text_kind(s) == "OBJECT"), safe_parse)
+    items = F.coalesce(root_items(t), F.when(_may_exceed_variant(t) & ~_string_like_object(t), one_by_one))
+    return F.when(kind == "ARRAY", items).when(kind == "OBJECT", F.array(safe_parse(t))).otherwise(F.array().cast("array<variant>"))
+
+
+def rejected_items(text: ColumnOrName) -> Column:
+    """What ``document_objects`` cannot hand on, as ARRAY<STRUCT<item: int,
+    bytes: bigint, reason: string>>: item numbers count from 0; a document
+    rejected as a whole has item NULL.  Empty for good documents."""
+    t = _c(text)
+    kind = text_kind(t)
+
+    def reject(item, size, reason):
+        return F.struct(item.cast("int").alias("item"), size.cast("bigint").alias("bytes"), F.lit(reason).alias("reason"))
+
+    whole = lambda reason: F.array(reject(F.lit(None), F.octet_length(t), reason))
+    none = F.array().cast("array<struct<item:int,bytes:bigint,reason:string>>")
+    sized = F.transform(_item_texts(t), lambda s, i: F.when((text_kind(s) == "OBJECT") & safe_parse(s).isNull(),
+                                                            reject(i, F.octet_length(s), "the item exceeds a VARIANT")))
+    large = F.when(_string_like_object(t), whole("an item exceeds a VARIANT, and strings look like objects")).otherwise(F.filter(sized, lambda r: r.isNotNull()))
+    fits = F.when(kind == "ARRAY", root_items(t).isNotNull()).otherwise(safe_parse(t).isNotNull())
+    return (F.when(t.isNull() | ~is_one_document(t), whole(NOT_ONE_DOCUMENT)).when(fits, none)
+            .when(kind == "ARRAY", large).otherwise(whole("the document exceeds a VARIANT")))
 
 
 def _node(v: ColumnOrName, path: str) -> Column:
@@ -80,13 +175,10 @@ def int_of_json(v: ColumnOrName, path: str, default: int) -> Column:
 
 
 def is_one_document(text: ColumnOrName) -> Column:
-    """True where the whole text is one JSON value.  The parser stops at the
-    end of the first value, so the text is parsed inside an array and inside
-    an object: text after the value breaks one of them."""
+    """True where the whole text is one JSON value, of any size."""
     t = _c(text)
-    inside = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
-    member = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
-    return inside.isNotNull() & member.isNotNull() & (F.size(F.try_variant_get(inside, "$", "array<variant>")) == 1)
+    parsed = _with_end(t, "string")
+    return F.coalesce((F.size(parsed) == 2) & (F.get(parsed, F.lit(1)) == _end_mark(t)), F.lit(False))
 
 
 def json_query(v: ColumnOrName, path: str = "$") -> Column:
@@ -106,10 +198,6 @@ def json_text(c: ColumnOrName) -> Column:
     return F.to_json(_c(c))
 
 
-# Strict JSON: no single quotes, no NaN/Infinity literals (as parse_json).
-STRICT_JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-
-
 def parse_shape(text: ColumnOrName, ddl: str) -> Column:
     """Parse JSON text against a partial *shape* whose leaves are VARIANT,
     e.g. ``location variant, forecast struct<forecastday: array<variant>>``.
@@ -117,6 +205,8 @@ def parse_shape(text: ColumnOrName, ddl: str) -> Column:
     The fixed outer levels are read by the streaming JSON parser straight
     into structs (no full VARIANT to build and walk again); everything below
     stays VARIANT, so path functions keep their exact semantics.  A level
-    with the wrong JSON type (object where an array is expected, ...) is
-    NULL, unparsable text gives NULLs, like ``safe_parse``."""
-    return F.from_json(_c(text), ddl, STRICT_JSON_OPTIONS)
+    with the wrong JSON type (object where an array is expected, ...) and text
+    that is not exactly one JSON object give NULL."""
+    t = _c(text)
+    items = _with_end(t, f"struct<{ddl}, end_mark string>", '{"end_mark":"', '"}')
+    return F.when((F.size(items) == 2) & (F.get(items, F.lit(1))["end_mark"] == _end_mark(t)), F.get(items, F.lit(0)))

@@ -4,6 +4,6 @@ from .dedup import deduplicate, parse_order_by, rank_within, total_order  # noqa
 from .filters import where_equal, where_like, where_not_null, where_rank_one  # noqa: F401
 from .quality import ColumnTest, accepted_values, not_null, run_suite, unique  # noqa: F401
 from .unnest import (explode_strict, explode_tolerant, keep_array_roots, keep_objects,  # noqa: F401
-                     objects_of, unnest, unnest_path)
+                     quarantine, unnest, unnest_path)
 from .aggregate import distinct_per_group, group_stats  # noqa: F401
 from .project import except_columns, rename, struct_fields, with_product  # noqa: F401

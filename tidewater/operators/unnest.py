@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json import json_kind, json_query_array, safe_parse, strict_parse, text_kind
+from ..functions.json import (NOT_ONE_DOCUMENT, document_objects, is_one_document, json_kind, json_query_array,
+                              rejected_items, root_items, text_kind)
 
 
 ColumnOrName = Column | str
@@ -41,34 +42,33 @@ def keep_array_roots(df: DataFrame, doc: str, text: str | None = None) -> DataFr
     return df.where(F.col(doc).isNotNull() & (kind == "ARRAY"))
 
 
-def objects_of(doc: Column, text: ColumnOrName | None = None) -> Column:
-    """LAT-5 element list: array root -> its items, object root -> [root],
-    anything else (scalar, NULL, unparsable) -> no items.  With ``text``
-    (the document's JSON text) the root kind is read from its first
-    character instead of describing the whole value."""
-    kind = F.when(doc.isNull(), F.lit(None)).otherwise(text_kind(text)) \
-        if text is not None else json_kind(doc)
-    return (F.when(kind == "ARRAY", json_query_array(doc, "$"))
-            .when(kind == "OBJECT", F.array(doc))
-            .otherwise(F.array().cast("array<variant>")))
-
-
 def explode_tolerant(df: DataFrame, text_col: str = "raw_json", alias: str = "obj",
                      keep: list | None = None) -> DataFrame:
     """LAT-5: tolerant document explode.  NULL or unparsable text -> no rows;
-    array -> its object items; a single object -> one row; other -> none."""
+    array -> its object items; a single object -> one row; other -> none.
+    Arrays are read item by item, whatever their size."""
     keep = [] if keep is None else keep
-    doc = safe_parse(text_col)
-    out = df.select(*keep, F.explode(objects_of(doc, text_col)).alias(alias))
+    out = df.select(*keep, F.explode(document_objects(text_col)).alias(alias))
     return keep_objects(out, alias)
 
 
+def quarantine(df: DataFrame, text_col: str = "raw_json", keep: list | None = None) -> DataFrame:
+    """What ``explode_tolerant`` leaves out for its form: one row per rejected
+    document (item NULL) or item, with its size and the reason."""
+    keep = [] if keep is None else keep
+    out = df.select(*keep, F.explode(rejected_items(text_col)).alias("__r"))
+    return out.select(*keep, "__r.item", "__r.bytes", "__r.reason")
+
+
 def explode_strict(df: DataFrame, text_col: str = "raw_json", alias: str = "obj",
                    keep: list | None = None) -> DataFrame:
-    """LAT-6: strict explode: unparsable text fails the query, a root that is
-    not an array is skipped, non-object items are skipped."""
+    """LAT-6: strict explode: text that is not one JSON document fails the
+    query, and so does an item that exceeds a VARIANT; a root that is not an
+    array is skipped, non-object items are skipped."""
     keep = [] if keep is None else keep
-    parsed = df.select(*keep, strict_parse(text_col).alias("__doc"), F.col(text_col).alias("__text"))
-    arrays = keep_array_roots(parsed, "__doc", "__text")
-    out = arrays.select(*keep, F.explode(json_query_array("__doc", "$")).alias(alias))
-    return keep_objects(out, alias)
+    t = F.col(text_col)
+    fail = F.raise_error(F.lit(NOT_ONE_DOCUMENT)).cast("array<variant>")
+    items = (F.when(t.isNull(), F.lit(None).cast("array<variant>"))
+             .when(text_kind(t) == "ARRAY", F.coalesce(root_items(t), fail))
+             .when(~is_one_document(t), fail))
+    return keep_objects(df.select(*keep, F.explode(items).alias(alias)), alias)

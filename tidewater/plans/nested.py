@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import json_query_array, json_value, safe_parse, strict_cast
-from ..operators import objects_of, unnest
+from ..functions import document_objects, json_query_array, json_value, strict_cast
+from ..operators import unnest
 
 
 def stg_orders_items(orders: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def stg_sessions_events(sessions_json: DataFrame, raw_col: str = "raw") -> DataF
     """P-11: JSON column ``raw`` holding user documents (or arrays of them)
     -> one row per (user, session, event).  Parsed once; the user id is
     read before the session unnest, the session id before the event unnest."""
-    docs = sessions_json.select(F.explode(objects_of(safe_parse(raw_col), raw_col)).alias("u"))
+    docs = sessions_json.select(F.explode(document_objects(raw_col)).alias("u"))
     users = docs.select(strict_cast(json_value("u", "$.user_id"), "bigint").alias("user_id"),
                         json_query_array("u", "$.sessions").alias("sessions"))
     sessions = users.select("user_id", F.explode("sessions").alias("s"))
