@@ -1,7 +1,5 @@
 """Replays, restarts and hot keys."""
 
-import json
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,50 +46,6 @@ def test_hot_group_is_split(spark):
     assert hourly.count() == 5000
 
 
-def test_store_vacuum_keeps_results(spark, sf_dir):
-    """Re-deliveries create new versions; every merge drops the obsolete ones
-    and the newest-wins results stay the same."""
-    events = fx.read_table(spark, sf_dir, "events")
-    env = fx.weather_envelopes(events)
-    store = st.NewestWinsStore(spark, scratch_path(spark, "v_store"))
-    for i, hours in enumerate((2, 1, 2, 1)):            # new, old, new again, old again
-        store.merge(env.where(F.hour("fetched_at") == hours), i)
-    assert store.vacuum() == 0
-    assert sorted(tuple(r) for r in store.hourly().collect()) == sorted(tuple(r) for r in weather.stg_weather_hourly(env).collect())
-    versions = {d.split("/v=")[1].split("/")[0] for d in store.hourly().inputFiles()}
-    assert versions <= {"2", "3"}
-
-
-def _document(epoch, temp):
-    hour = {"temp_c": temp} | ({"time_epoch": epoch} if epoch is not None else {})
-    return json.dumps({"location": {"name": "A", "lat": 1.0, "lon": 2.0}, "forecast": {"forecastday": [{"date": "2024-01-01", "hour": [hour]}]}})
-
-
-def test_store_keeps_hours_without_a_time(spark):
-    """Two batches with an hour that has no time: the store equals the batch
-    model, and an empty store reads as empty."""
-    rows = [(_document(None, 5), "u/history.json?a", "2024-01-02 00:00:00"), (_document(1704067200, 6), "u/history.json?b", "2024-01-02 00:00:00"),
-            (_document(None, 7), "u/history.json?c", "2024-01-01 00:00:00")]
-    env = spark.createDataFrame(rows, "raw_json string, source_url string, fetched_at string").withColumn("fetched_at", F.to_timestamp("fetched_at"))
-    store = st.NewestWinsStore(spark, scratch_path(spark, "null_day"))
-    assert store.hourly().count() == 0 and store.daily().count() == 0
-    store.merge(env.limit(2), 0)
-    store.merge(env.where(F.col("source_url").endswith("c")), 1)
-    assert sorted(map(repr, store.hourly().collect())) == sorted(map(repr, weather.stg_weather_hourly(env).collect()))
-    assert sorted(map(repr, store.daily().collect())) == sorted(map(repr, weather.fct_weather_daily(weather.stg_weather_hourly(env)).collect()))
-
-
-def test_reader_ignores_a_version_without_its_marker(spark):
-    env = spark.createDataFrame([(_document(1704067200, 6), "u/history.json?b", "2024-01-02 00:00:00")], "raw_json string, source_url string, fetched_at string")
-    env = env.withColumn("fetched_at", F.to_timestamp("fetched_at"))
-    store = st.NewestWinsStore(spark, scratch_path(spark, "partial"))
-    store.merge(env, 0)
-    before = store.hourly().collect()
-    store.hourly().withColumn("day_utc", F.to_date("observed_at")).where("false").write.partitionBy("day_utc").parquet(f"{store.hourly_root}/v=1")
-    store.hourly().withColumns({"day_utc": F.to_date("observed_at"), "temp_c": F.lit(99).cast("decimal(38,9)")}).write.mode("append").partitionBy("day_utc").parquet(f"{store.hourly_root}/v=1")
-    assert store.hourly().collect() == before
-
-
 def test_load_keeps_every_chunk_of_a_long_day(spark):
     """5,000 hours of one user-day arrive as three documents and all stay."""
     ev = spark.range(5000).select(F.col("id").alias("event_id"), F.lit(3).cast("bigint").alias("user_id"),

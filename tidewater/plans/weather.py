@@ -71,17 +71,18 @@ def stg_weather_hourly(raw: DataFrame) -> DataFrame:
     return dedup_hours(flatten_weather(raw))
 
 
-def fct_weather_daily(hourly: DataFrame) -> DataFrame:
+def fct_weather_daily(hourly: DataFrame, also: tuple = ()) -> DataFrame:
     """P-2: per location and UTC day: hour count and temperature stats.
 
     ``count(*)`` counts hours with a NULL temperature, avg/min/max skip them.
     Temperatures leave the mart as DOUBLE; the average is rounded to 6
     decimals so it does not depend on decimal vs. binary summation order.
+    ``also`` names columns that are constant per location and day and stay.
     """
     h = hourly.select("city", "country", "lat", "lon",
-                      date_of("observed_at").alias("day_utc"), "temp_c")
+                      date_of("observed_at").alias("day_utc"), "temp_c", *also)
     h = h.withColumn("weather_day_key", location_key("lat", "lon", "day_utc"))
-    g = group_stats(h, ["weather_day_key", "city", "country", "lat", "lon", "day_utc"], "temp_c")
+    g = group_stats(h, ["weather_day_key", "city", "country", "lat", "lon", "day_utc", *also], "temp_c")
     return g.select("weather_day_key", "city", "country", "lat", "lon", "day_utc",
                     F.col("count").alias("hours_count"), F.col("avg").alias("avg_temp_c"),
-                    F.col("min").alias("min_temp_c"), F.col("max").alias("max_temp_c"))
+                    F.col("min").alias("min_temp_c"), F.col("max").alias("max_temp_c"), *also)

@@ -1,34 +1,20 @@
-"""Structured Streaming: raw intake, stateless flatten, newest-wins merge
-and the daily mart.
+"""Structured Streaming: raw intake and stateless flatten.
 
 All queries run with ``trigger(availableNow=True)`` for scheduled runs (a
 long-running trigger works the same) and keep their progress in a
 checkpoint below the shared folder, so a restarted or retried run resumes
 where it stopped.
-
-Newest-wins on a stream: ``row_number`` is not allowed on streams and
-``dropDuplates`` keeps the first arrival, not the newest.  Each micro-batch
-is therefore merged in ``foreachBatch`` with the stored rows of the days it
-touches, and the result is written as a new *version* of those days
-(``v=<batch_id>/day_utc=<day>``).  Readers take the highest version per
-day.  Work per batch is bounded by the days the batch touches and a replayed
-batch rewrites the same version (idempotent).  A version counts only once its
-marker below ``commits`` exists, which is written after both its hourly rows
-and its daily mart: a half-written version is never read.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..plans.weather import HOURLY_COLUMNS, dedup_hours, fct_weather_daily, flatten_weather
-from ..sinks.tables import _exists, append_idempotent, with_row_id, write_partitioned
+from ..plans.weather import flatten_weather
+from ..sinks.tables import append_idempotent, with_row_id
 
 ENVELOPE_SCHEMA = "raw_json string, source_url string, fetched_at timestamp"
-# Spark's directory name of a NULL partition value (fixed value).
-NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_envelopes(spark: SparkSession, landing: str, fmt: str = "parquet",
@@ -68,156 +54,3 @@ def start_flatten(spark: SparkSession, raw_table: str, target: str, checkpoint:
     w = (flat.writeStream.format("parquet").option("path", target)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     return (w.trigger(availableNow=True) if available_now else w).start()
-
-
-def _file_system(spark: SparkSession, root: str):
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
-
-
-def committed_versions(spark: SparkSession, commits: str) -> set[int]:
-    """Versions whose marker exists."""
-    fs, path = _file_system(spark, commits)
-    if not fs.exists(path(commits)):
-        return set()
-    return {int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(path(commits))}
-
-
-def newest_version_dirs(spark: SparkSession, root: str, committed: set[int], below: int | None = None,
-                        days: list | None = None) -> list[str]:
-    """Directories holding the newest committed version of each day under
-    ``root`` (``v=<batch>/day_utc=<day>``), from one file-system listing: the
-    version is in the directory name, so no data is read to find it.  A NULL
-    in ``days`` is the directory of rows without a day."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    wanted = None if days is None else {NULL_DAY if d is None else str(d) for d in days}
-    newest: dict[str, tuple[int, str]] = {}
-    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v=*/day_utc=*")) or []:
-        p = st.getPath()
-        day = p.getName().split("=", 1)[1]
-        v = int(p.getParent().getName().split("=", 1)[1])
-        if v not in committed or (below is not None and v >= below) or (wanted is not None and day not in wanted):
-            continue
-        if day not in newest or v > newest[day][0]:
-            newest[day] = (v, p.toString())
-    return [d for _, d in newest.values()]
-
-
-def latest(spark: SparkSession, root: str, committed: set[int], below: int | None = None,
-           days: list | None = None, schema=None) -> DataFrame | None:
-    """Rows of the newest committed version of every day stored under ``root``
-    (optionally only versions ``< below`` and only the given ``days``).
-    Only those directories are read."""
-    dirs = newest_version_dirs(spark, root, committed, below, days)
-    if not dirs:
-        return None
-    reader = spark.read.option("basePath", root)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(*dirs).drop("v")
-
-
-class NewestWinsStore:
-    """STR-3 + STR-4: versioned hourly table and daily mart fed by a stream."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.hourly_root = f"{root}/hourly"
-        self.daily_root = f"{root}/daily"
-        self.commits = f"{root}/commits"
-
-    def merge(self, batch: DataFrame, batch_id: int) -> None:
-        flat = flatten_weather(batch.select("raw_json", "source_url", "fetched_at"))
-        flat = flat.withColumn("day_utc", F.to_date("observed_at"))
-        # parsed once per micro-batch: the day probe and the merge reuse it
-        # (blocks lost with an executor are recomputed from the replayable
-        # source)
-        flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self._merge(flat, batch_id)
-        finally:
-            flat.unpersist()
-
-    def _merge(self, flat: DataFrame, batch_id: int) -> None:
-        spark = self.spark
-        # the touched calendar days (one value per directory that is rewritten,
-        # NULL for hours without a time); no days means nothing but filtered or
-        # broken documents arrived
-        days = [r[0] for r in flat.select("day_utc").distinct().collect()]
-        if not days:
-            return
-        cur = latest(spark, self.hourly_root, committed_versions(spark, self.commits), below=batch_id, days=days)
-        rows = flat.select(*HOURLY_COLUMNS)
-        if cur is not None:
-            rows = cur.select(*HOURLY_COLUMNS).unionByName(rows)
-        merged = dedup_hours(rows).withColumn("day_utc", F.to_date("observed_at"))
-        out = f"{self.hourly_root}/v={batch_id}"
-        write_partitioned(merged, out, "day_utc", ("lat", "lon"), dynamic=False)
-        # the mart of the touched days, from the version just written
-        written = spark.read.schema(merged.schema).parquet(out)
-        daily = fct_weather_daily(written.select(*HOURLY_COLUMNS))
-        write_partitioned(daily, f"{self.daily_root}/v={batch_id}", "day_utc", ("city",), dynamic=False)
-        fs, path = _file_system(spark, self.commits)
-        fs.create(path(f"{self.commits}/v={batch_id}"), True).close()
-        self.vacuum()
-
-    def start(self, stream: DataFrame, checkpoint: str, available_now: bool = True):
-        w = (stream.writeStream.foreachBatch(self.merge)
-             .option("checkpointLocation", checkpoint))
-        return (w.trigger(availableNow=True) if available_now else w).start()
-
-    def vacuum(self) -> int:
-        """Remove day versions no reader or replay can need.
-
-        Per day, keep the newest version and the newest version below the
-        last batch id (what a replay of the last batch reads); everything
-        older goes.  Returns the number of removed directories.  ``merge``
-        runs it after every commit."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        removed = 0
-        for root in (self.hourly_root, self.daily_root):
-            path = jvm.org.apache.hadoop.fs.Path(root)
-            fs = path.getFileSystem(conf)
-            if not fs.exists(path):
-                continue
-            committed = committed_versions(self.spark, self.commits)
-            by_day: dict[str, list] = {}
-            for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v=*/day_utc=*")) or []:
-                p = st.getPath()
-                v = int(p.getParent().getName().split("=", 1)[1])
-                if v not in committed:
-                    continue  # being written, or left by a failed batch that a replay overwrites
-                by_day.setdefault(p.getName(), []).append((v, p))
-            last = max((v for vs in by_day.values() for v, _ in vs), default=None)
-            for vs in by_day.values():
-                vs.sort(key=lambda x: x[0], reverse=True)
-                keep = {vs[0][0]}
-                below_last = [v for v, _ in vs if v < last]
-                if below_last:
-                    keep.add(below_last[0])
-                for v, p in vs:
-                    if v not in keep:
-                        fs.delete(p, True)
-                        removed += 1
-        return removed
-
-    def _read(self, root: str, empty: DataFrame) -> DataFrame:
-        df = latest(self.spark, root, committed_versions(self.spark, self.commits))
-        return empty if df is None else df.select(*empty.columns)
-
-    def _no_hours(self) -> DataFrame:
-        return dedup_hours(flatten_weather(self.spark.createDataFrame([], ENVELOPE_SCHEMA)))
-
-    def hourly(self) -> DataFrame:
-        """Committed hours; an empty frame with the same columns before the first commit."""
-        return self._read(self.hourly_root, self._no_hours())
-
-    def daily(self) -> DataFrame:
-        """The committed daily mart; empty like ``hourly``."""
-        return self._read(self.daily_root, fct_weather_daily(self._no_hours()))
