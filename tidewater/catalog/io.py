@@ -87,6 +87,52 @@ def raw_load_query(spark, sf_dir):
     return spark.read.parquet(target).select("table_name", "raw_json", "fetched_at")
 
 
+@register("raw_load_routed", f"""
+WITH d AS ({NATION_DOCS_SQL})
+SELECT CASE WHEN name = 'broken.json' THEN 'quarantine' ELSE 'raw_' || regexp_replace(lower(replace(name, '.json', '')), '[^a-z0-9_]', '_', 'g') END AS table_name,
+       name AS file_name, text AS raw_json, TIMESTAMP '{FETCHED_AT}' AS fetched_at,
+       (SELECT count(*) FROM d WHERE name <> 'broken.json') AS inserted,
+       (SELECT count(*) FROM d WHERE name = 'broken.json') AS skipped, 0 AS inserted_by_retry
+FROM d""")
+def raw_load_routed(spark, sf_dir):
+    """P-14 + SRC-3 + SNK-4: files to their catalog tables and the quarantine
+    by one write, twice; rows are read back table by table."""
+    root = scratch_path(spark, "routed")
+    db = "tw_" + root.rsplit("-", 1)[-1]
+    glob = _landing(spark, sf_dir) + "/*.json"
+    first = raw_load.load_routed(spark, glob, root, db, FETCHED_AT)
+    retry = raw_load.load_routed(spark, glob, root, db, FETCHED_AT)
+    names = sorted(t.name for t in spark.catalog.listTables(db))
+    out = None
+    for name in names:
+        rows = spark.table(f"{db}.`{name}`").select(F.lit(name).alias("table_name"), basename("source").alias("file_name"), "raw_json", "fetched_at")
+        out = rows if out is None else out.unionByName(rows)
+    return out.withColumns({"inserted": F.lit(first["inserted"]).cast("bigint"), "skipped": F.lit(first["skipped"]).cast("bigint"),
+                            "inserted_by_retry": F.lit(retry["inserted"]).cast("int")})
+
+
+@register("append_bucketed", """
+SELECT page_id, 'https://api.weather.example/v1/history.json?q=' || page_id AS source_url, url,
+       CAST(TIMESTAMP '2024-02-01 06:00:00' + to_days(CAST(page_id % 3 AS INTEGER)) AS TIMESTAMP) AS fetched_at,
+       (SELECT count(*) FROM pages) AS inserted, 0 AS inserted_by_retry
+FROM pages""")
+def append_bucketed(spark, sf_dir):
+    """SNK-2 into a table bucketed by row id: three fetch days, delivered
+    twice, the second time with every row repeated."""
+    p = _t(spark, sf_dir, "pages")
+    at = F.lit(FETCHED_AT).cast("timestamp") + F.make_interval(days=(F.col("page_id") % 3).cast("int"))
+    batch = snk.with_row_id(p.select(F.to_json(F.struct("page_id", "url")).alias("raw_json"), at.alias("fetched_at"),
+                                     F.concat(F.lit("https://api.weather.example/v1/history.json?q="), F.col("page_id").cast("string")).alias("source_url")))
+    path = scratch_path(spark, "raw_bucketed")
+    name = "raw_bucketed_" + path.rsplit("-", 1)[-1]
+    snk.ensure_raw_table(spark, name, path, buckets=8)
+    first = snk.append_bucketed(spark, batch, name)["inserted"]
+    retry = snk.append_bucketed(spark, batch.unionByName(batch), name)["inserted"]
+    doc = safe_parse("raw_json")
+    return spark.table(name).select(json_value(doc, "$.page_id").cast("bigint").alias("page_id"), "source_url", json_value(doc, "$.url").alias("url"), "fetched_at",
+                                    F.lit(first).cast("bigint").alias("inserted"), F.lit(retry).cast("int").alias("inserted_by_retry"))
+
+
 def _nation_envelopes(spark, sf_dir, fetched_at=FETCHED_AT):
     n = _t(spark, sf_dir, "nation")
     payload = n.select(F.struct("n_nationkey", "n_name", "n_regionkey").alias("p"),
