@@ -53,7 +53,7 @@ def test_bucketed_target_is_read_without_an_exchange(spark):
     join = next(i for i, node in enumerate(above) if "Join" in node)
     assert not [node for node in above[:join] if "Exchange" in node]
     assert not [line for line in _nodes(plan, "Exchange", "Sort") if "raw_json" in line]
-    assert "raw_json" not in next(line for line in side if "Bucketed: true" in line).split("ReadSchema")[1]
+    assert "raw_json" not in next(line for line in plan.splitlines() if "Bucketed: true" in line).split("ReadSchema")[1]
 
 
 def test_payload_is_neither_sorted_nor_shuffled(spark):
