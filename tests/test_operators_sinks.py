@@ -59,9 +59,10 @@ def test_stream_equals_batch(spark, sf_dir):
     events = fx.read_table(spark, sf_dir, "events")
     landing = scratch_path(spark, "t_landing")
     n = fx.land_weather_deliveries(spark, events, landing)
-    store = st.NewestWinsStore(spark, scratch_path(spark, "t_store"))
-    store.start(st.read_envelopes(spark, landing, max_files_per_trigger=n),
-                scratch_path(spark, "t_ckpt")).awaitTermination()
+    store = st.NewestHours(spark, scratch_path(spark, "t_store"))
+    store.start_hours(st.read_envelopes(spark, landing, max_files_per_trigger=n),
+                      scratch_path(spark, "t_ckpt")).awaitTermination()
+    store.start_days(scratch_path(spark, "t_ckpt")).awaitTermination()
     batch = weather.stg_weather_hourly(fx.weather_envelopes(events))
     a = sorted(tuple(r) for r in store.hourly().collect())
     b = sorted(tuple(r) for r in batch.collect())
