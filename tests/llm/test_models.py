@@ -3,10 +3,14 @@ plain regular expressions, held-out accuracy, and awkward tables."""
 
 import hashlib
 import itertools
+import math
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from brute import clash, documents
@@ -109,23 +113,86 @@ def test_held_out_quality(spark):
     assert len(out) > 100 and sum(a == b for a, b in out) >= 0.95 * len(out)
 
 
-def test_kneser_ney_sums_to_one():
-    """Over all characters seen, a context's probabilities sum to nearly one
-    (the rest is left to unseen characters)."""
-    words = ["the", "then", "there", "hen", "ten", "net"] * 3
-    key, _ = language_id.packed(words)
-    keys, n = np.unique(key, return_counts=True)
-    model = language_id.build({"en": (keys, n)})
-    ends = np.unique(keys & language_id._low(1))
-    for context in np.unique(keys >> np.uint64(16)):
-        total = 0.0
-        for end in ends:
-            part, back = (context << np.uint64(16)) | end, 0.0
-            for order in range(language_id.ORDER, 0, -1):
-                at, has = language_id._find(model.grams[order - 1][0], np.array([part & language_id._low(order)]))
-                if has[0]:
-                    total += np.exp(back + model.grams[order - 1][1][at[0], 0])
-                    break
-                at, has = language_id._find(model.backs[order - 1][0], np.array([(part & language_id._low(order)) >> np.uint64(16)]))
-                back += model.backs[order - 1][1][at[0], 0] if has[0] else 0.0
-        assert 0.9 < total <= 1.0 + 1e-9
+def plain_model(texts):
+    """Interpolated Kneser-Ney over the padded words of texts: a function from
+    (context, character) to probability, backing off like the operator."""
+    D, grams = language_id.DISCOUNT, [Counter() for _ in range(5)]
+    for t in texts:
+        for w in language_id.words_of(t):
+            w = "\x01\x01\x01" + w + "\x02"
+            grams[4].update(w[i - 3:i + 1] for i in range(3, len(w)))
+    for order in (3, 2, 1):
+        grams[order] = Counter(g[1:] for g in grams[order + 1])
+    totals, kinds = [Counter() for _ in range(5)], [Counter() for _ in range(5)]
+    for order in range(1, 5):
+        for g, c in grams[order].items():
+            totals[order][g[:-1]] += c
+            kinds[order][g[:-1]] += 1
+
+    def logp(gram, floor):
+        order = len(gram)
+        if order == 0:
+            return floor
+        if gram in grams[order]:
+            return math.log(prob(gram))
+        back = math.log(D * kinds[order][gram[:-1]] / totals[order][gram[:-1]]) if gram[:-1] in totals[order] else 0.0
+        return back + logp(gram[1:], floor)
+
+    def prob(gram):
+        order, ctx = len(gram), gram[:-1]
+        under = 1 / (len(grams[1]) + 1) if order == 1 else prob(gram[1:])
+        return max(grams[order][gram] - D, 0) / totals[order][ctx] + D * kinds[order][ctx] / totals[order][ctx] * under
+    return logp, len(grams[1]) + 1
+
+
+def plain_entropies(rows):
+    train = {}
+    for r in rows:
+        if r.lang is not None and r.text is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            train.setdefault(r.lang, []).append(r.text)
+    models = {lang: plain_model(texts) for lang, texts in train.items()}
+    floor, out = -math.log(max(units for _, units in models.values())), {}
+    for r in rows:
+        words = language_id.words_of(r.text or "")
+        padded = ["\x01\x01\x01" + w + "\x02" for w in words]
+        units = sum(len(w) + 1 for w in words)
+        out[r.doc_id] = [-sum(models[lang][0](w[i - 3:i + 1], floor) for w in padded for i in range(3, len(w))) / units for lang in sorted(models)] if units else None
+    return out
+
+
+@pytest.mark.parametrize("shard_bytes", [64 << 20, 60_000])
+def test_cross_entropies_match_plain_kneser_ney(spark, sf_dir, monkeypatch, shard_bytes):
+    """Over the whole small table, also with the grams in many shards."""
+    monkeypatch.setattr(language_id, "SHARD_BYTES", shard_bytes)
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.unionByName(documents(spark, ["zebra zeal", "ölig \U0001d4d0x", "", None], lang="rare").withColumn("doc_id", F.col("doc_id") + 10 ** 6))
+    rows = docs.collect()
+    want = plain_entropies(rows)
+    scored, langs = language_id.entropies(docs)
+    got = {r.doc_id: r.entropies for r in scored.collect()}
+    assert langs == sorted({r.lang for r in rows if r.lang is not None}) and len(got) == len(want)
+    for doc_id, e in want.items():
+        assert (e is None and got[doc_id] is None) or np.allclose(got[doc_id], e, rtol=0, atol=1e-9), doc_id
+
+
+def test_limits_cover_every_language(spark):
+    """A language with two documents among hundreds has a limit of its own."""
+    docs = documents(spark, [f"the and of to in {'is that this ' * (i % 9)}" for i in range(300)])
+    rare = spark.createDataFrame([(10 ** 6 + i, "zebra zool zing " * 3, "zz", "s", 1) for i in range(8)], docs.schema)
+    scored, langs = language_id.entropies(docs.unionByName(rare))
+    limits, sharpness = language_id.calibration(scored, langs)
+    assert set(limits) == {"en", "zz"} and all(0 < x < 10 for x in limits.values()) and sharpness in language_id.SHARPNESS
+    own = {r.doc_id: r for r in scored.where("lang is not null").collect()}
+    for lang, limit in limits.items():
+        e = np.array([r.entropies[langs.index(lang)] for r in own.values() if r.lang == lang])
+        assert np.isclose(limit, max(e.mean() + 4 * e.std(), 1.2 * e.max()))
+
+
+def test_repeated_rows_and_input_order_of_language_id(spark):
+    docs = documents(spark, TEXTS + ["le chat et la souris dans la maison", "der hund und die katze"] * 3)
+    docs = docs.withColumn("lang", F.when(F.col("text").startswith("le"), "fr").when(F.col("text").startswith("der"), "de").otherwise("en"))
+    twice = docs.unionByName(docs)
+    one, other = (sorted(map(tuple, language_id.language_report(d).collect()), key=repr) for d in (twice, twice.orderBy(F.rand(4)).repartition(5)))
+    assert one == other and len(one) == 2 * docs.count()
+
+

@@ -1,16 +1,21 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 Training counts the character 4-grams of words, padded at both ends, over all
-training documents: tasks send counts per (language, 4-gram), Spark adds them
-up.  Four characters of 16 bits pack into one 64-bit key, and a key's lower
-orders are its trailing characters, so the model is a set of sorted key arrays
-with one column of log probabilities per language.  A word scores as the sum
-over its characters; a text by the cross-entropy per character of its words.
-
-The language with the lowest cross-entropy is predicted.  A calibration on a
-bounded sample of training documents gives each language the cross-entropy
-beyond which a text is rejected (its own column), and the sharpness of the
-score.
+documents: tasks send counts per (language, 4-gram), Spark adds them up.  Four
+characters of 16 bits pack into one 64-bit key, and a key's lower orders are
+its trailing characters.  Continuation counts, totals, back-off weights and
+probabilities are joins and aggregates over all grams, with no cut.
+
+Scoring needs one number per language for every 4-gram that occurs anywhere in
+the corpus: its log probability, backed off as far as needed.  These rows are
+worked out by joins too, order by order, and travel to the tasks as sorted key
+arrays, ``SHARD_BYTES`` at a time: a text's score is a sum over its characters,
+so each shard adds its part.
+
+The language with the lowest cross-entropy per character is predicted.  Per
+language the cross-entropies of all its training documents give the limit
+beyond which a text is rejected (its own column); the sharpness of the score
+comes from the log loss over all training documents.
 """
 
 from __future__ import annotations
@@ -21,19 +26,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import chunks, held_out
+from .common import chunks, held_out, materialise
 
 ORDER = 4
-MAX_GRAMS = 100_000       # 4-grams kept per language, the most frequent first
-MAX_LANGUAGES = 200
-CALIBRATION_ROWS = 400    # training documents the thresholds come from, at most
+MAX_LANGUAGES = 10_000    # languages are categories; more of them is an input error
+SHARD_BYTES = 64 << 20    # log probabilities that travel to the tasks at once
 DISCOUNT = 0.75
 UNKNOWN = "und"
 MEMO_WORDS = 500_000
+SHARPNESS = (1.0, 2.0, 5.0, 10.0, 20.0, 50.0)
 
 _WORD = re.compile(r"[^\W\d_]+")
 _OTHER = 0xFFFD           # unit of characters above 16 bits; 1 and 2 pad words
@@ -58,13 +62,18 @@ def packed(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return key, owner[at]
 
 
+def _training() -> Column:
+    return F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out("doc_id", 4, 2)
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """lang, key, n over the training documents of ``docs``."""
+    """lang, key, n over all documents; the grams of those that are not for
+    training have a null lang."""
     def run(batches):
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in chunks(texts):
-                for lang in sorted(set(langs[a:b])):
+                for lang in sorted(set(langs[a:b]), key=lambda x: (x is not None, x or "")):
                     seen: Counter = Counter()
                     for k in range(a, b):
                         if langs[k] == lang:
@@ -76,45 +85,86 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                     times = np.fromiter(seen.values(), np.int64, len(words))[owner]
                     keys, where = np.unique(key, return_inverse=True)
                     n = np.bincount(where, weights=times).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n)], ["lang", "key", "n"])
-    known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out("doc_id", 4, 2)).select("lang", "text")
-    return known.mapInArrow(run, "lang string, key bigint, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n)], ["lang", "key", "n"])
+    rows = docs.where(F.col("text").isNotNull()).select(F.when(_training(), F.col("lang")).alias("lang"), "text")
+    return rows.mapInArrow(run, "lang string, key bigint, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+
+
+def _lower(key: str, order: int) -> Column:
+    """The trailing ``order`` characters of a key."""
+    return F.col(key).bitwiseAND(F.lit((1 << 16 * order) - 1))
+
+
+def _context(key: str) -> Column:
+    return F.shiftrightunsigned(key, 16)
+
+
+def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """Per order, lowest first: (lang, key, logp) of its grams and (lang, ctx,
+    back) of its contexts, from the counts (lang, key, c) of the highest."""
+    level, levels = counts.select("lang", "key", "c"), []
+    for order in range(ORDER, 0, -1):
+        levels.append(level)
+        if order > 1:  # below the top a gram counts once per longer gram that ends in it
+            level = materialise(level.groupBy("lang", _lower("key", order - 1).alias("key")).agg(F.count(F.lit(1)).cast("double").alias("c")), "kn_counts")
+    out, below = [], None
+    for order, level in enumerate(reversed(levels), 1):
+        contexts = materialise(level.groupBy("lang", _context("key").alias("ctx")).agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"))
+                               .withColumn("back", F.lit(DISCOUNT) * F.col("kinds") / F.col("total")), "kn_contexts")
+        rows = level.withColumn("ctx", _context("key")).join(contexts, ["lang", "ctx"])
+        if below is None:  # characters: one share is left for unknown ones
+            rows = rows.withColumn("under", 1 / (F.col("kinds") + 1))
+        else:
+            lower = below.select("lang", F.col("key").alias("low"), F.col("p").alias("under"))
+            rows = rows.withColumn("low", _lower("key", order - 1)).join(lower, ["lang", "low"])
+        p = F.greatest(F.col("c") - DISCOUNT, F.lit(0.0)) / F.col("total") + F.col("back") * F.col("under")
+        below = materialise(rows.select("lang", "key", p.alias("p")), "kn_grams")
+        out.append((below.select("lang", "key", F.log("p").alias("logp")), contexts.select("lang", "ctx", F.log("back").alias("back"), "kinds")))
+    return out
+
+
+def _by_language(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """One map from language to value per key (a language comes once)."""
+    return rows.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("lang", value))).alias(name))
+
+
+def resolved(universe: DataFrame, orders: list[tuple[DataFrame, DataFrame]], langs: list[str], floor: float) -> DataFrame:
+    """key, logs: of every 4-gram of the universe its log probability in each
+    language.  A gram that a language lacks takes the back-off weight of its
+    context (if the language has that) and its lower order's value."""
+    wanted = [universe.select("key").distinct()]
+    for order in range(ORDER - 1, 0, -1):
+        wanted.append(wanted[-1].select(_lower("key", order).alias("key")).distinct())
+    below = None
+    for order, (grams, contexts) in enumerate(orders, 1):
+        rows = (wanted[ORDER - order].join(_by_language(grams, "key", "logp", "p"), "key", "left").withColumn("ctx", _context("key"))
+                .join(_by_language(contexts, "ctx", "back", "b"), "ctx", "left"))
+        if below is None:
+            rows = rows.withColumn("under", F.array_repeat(F.lit(floor), len(langs)))
+        else:
+            rows = rows.withColumn("low", _lower("key", order - 1)).join(below.select(F.col("key").alias("low"), F.col("logs").alias("under")), "low")
+        value = lambda lang, i: F.coalesce(F.try_element_at("p", lang), F.coalesce(F.try_element_at("b", lang), F.lit(0.0)) + F.get("under", i))
+        below = materialise(rows.select("key", F.transform(F.array(*map(F.lit, langs)), value).alias("logs")), "kn_resolved")
+    return below
 
 
 @dataclass
 class Model:
-    """Per order: sorted keys and a log probability per key and language; the
-    back-off weights of contexts are keyed alike."""
-    langs: list[str]
-    grams: list[tuple[np.ndarray, np.ndarray]]
-    backs: list[tuple[np.ndarray, np.ndarray]]
-    floor: float
-    limits: np.ndarray
-    sharpness: float
+    """Sorted 4-gram keys and a log probability per key and language."""
+    keys: np.ndarray
+    logs: np.ndarray
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        """Sum of log probabilities of each word, per language."""
+        """Sum of the log probabilities of each word's grams, per language;
+        grams that are not here (but in another shard) add nothing."""
         key, owner = packed(words)
-        out = np.zeros((len(key), len(self.langs)))
-        open_ = np.arange(len(key))
-        for order in range(ORDER, 0, -1):
-            keys, logs = self.grams[order - 1]
-            part = key[open_] & _low(order)
-            at, has = _find(keys, part)
-            out[open_[has]] += logs[at[has]]
-            open_, part = open_[~has], part[~has]
-            backs, weights = self.backs[order - 1]
-            at, has = _find(backs, part >> np.uint64(16))
-            out[open_[has]] += weights[at[has]]
-        out[open_] += self.floor
+        at, has = _find(self.keys, key)
+        out = np.zeros((len(key), self.logs.shape[1]))
+        out[has] = self.logs[at[has]]
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         return np.add.reduceat(out, starts, axis=0)
 
 
-def _low(units: int) -> np.uint64:
-    return np.uint64((1 << 16 * units) - 1)
-
-
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys):
         return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
@@ -122,71 +172,15 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
-def _one_language(keys: np.ndarray, n: np.ndarray):
-    """Per order (keys, probability) and (contexts, back-off weight), lowest
-    order first: interpolated Kneser-Ney, continuation counts below the top."""
-    levels = []
-    k, c = keys, n.astype(np.float64)
-    for order in range(ORDER, 0, -1):
-        levels.append((k, c))
-        if order > 1:
-            k, c = np.unique(k & _low(order - 1), return_counts=True)
-            c = c.astype(np.float64)
-    out, lower = [], None
-    for order, (k, c) in enumerate(reversed(levels), 1):
-        contexts, at = np.unique(k >> np.uint64(16), return_inverse=True)
-        total, kinds = np.bincount(at, weights=c), np.bincount(at)
-        back = DISCOUNT * kinds / total
-        if lower is None:
-            below = np.full(len(k), 1 / (len(k) + 1))
-        else:
-            place, _ = _find(lower[0], k & _low(order - 1))
-            below = lower[1][place]
-        prob = np.maximum(c - DISCOUNT, 0) / total[at] + back[at] * below
-        lower = (k, prob)
-        out.append(((k, prob), (contexts, back)))
-    return out
-
-
-def build(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
-    """The model of {lang: (keys, counts)}; a gram that only other languages
-    have gets its backed-off probability, so one lookup serves all."""
-    langs = sorted(counts)
-    single = [_one_language(*counts[lang]) for lang in langs]
-    units = max([len(s[0][0][0]) for s in single], default=1) + 1
-    floor = -float(np.log(units))
-    grams, backs = [], []
-    for order in range(1, ORDER + 1):
-        contexts = np.unique(np.concatenate([s[order - 1][1][0] for s in single] or [np.zeros(0, np.uint64)]))
-        weight = np.zeros((len(contexts), len(langs)))
-        for j, s in enumerate(single):
-            at, has = _find(s[order - 1][1][0], contexts)
-            weight[has, j] = np.log(s[order - 1][1][1][at[has]])
-        keys = np.unique(np.concatenate([s[order - 1][0][0] for s in single] or [np.zeros(0, np.uint64)]))
-        logs = np.zeros((len(keys), len(langs)))
-        place, known = _find(contexts, keys >> np.uint64(16))
-        if order > 1 and len(keys):
-            low_at, low_has = _find(grams[-1][0], keys & _low(order - 1))
-            below = np.where(low_has[:, None], grams[-1][1][low_at], floor)
-        else:
-            below = np.full(logs.shape, floor)
-        logs = below + np.where(known[:, None], weight[place], 0) if len(keys) else logs
-        for j, s in enumerate(single):
-            at, has = _find(s[order - 1][0][0], keys)
-            logs[has, j] = np.log(s[order - 1][0][1][at[has]])
-        grams.append((keys, logs))
-        backs.append((contexts, weight))
-    return Model(langs, grams, backs, floor, np.full(len(langs), np.inf), 10.0)
-
-
 class Scorer:
-    """Cross-entropies of texts, remembering words within a task."""
+    """Sums of log probabilities of texts, remembering words within a task."""
 
     def __init__(self, model: Model):
-        self.model, self.place, self.scores = model, {}, np.zeros((0, len(model.langs)))
+        self.model, self.place, self.scores = model, {}, np.zeros((0, model.logs.shape[1]))
 
-    def entropies(self, texts: list[str]) -> np.ndarray:
-        """Nats per character of each text and language; nan without a letter."""
+    def sums(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Per text and language the sum over its characters, and the number
+        of characters (each word's end counts as one; 0 without a letter)."""
         split = [words_of(t) for t in texts]
         new = list({w for ws in split for w in ws} - self.place.keys())
         if len(self.place) + len(new) > MEMO_WORDS:
@@ -195,100 +189,116 @@ class Scorer:
         if new:
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
             self.scores = np.concatenate([self.scores, self.model.word_scores(new)])
-        out = np.full((len(texts), len(self.model.langs)), np.nan)
+        out, units = np.zeros((len(texts), self.scores.shape[1])), np.zeros(len(texts), np.int64)
         for i, ws in enumerate(split):
             if ws:
                 at = np.fromiter(map(self.place.__getitem__, ws), np.int64, len(ws))
-                out[i] = -self.scores[at].sum(axis=0) / (sum(map(len, ws)) + len(ws))
-        return out
+                out[i] = self.scores[at].sum(axis=0)
+                units[i] = sum(map(len, ws)) + len(ws)
+        return out, units
 
 
-def predict(model: Model, entropies: np.ndarray) -> tuple[list[str], np.ndarray, list[bool]]:
-    """Language, score, and whether the text is beyond its language's limit."""
-    langs, scores, beyond = [], np.zeros(len(entropies)), []
-    for i, row in enumerate(entropies):
-        if not len(row) or np.isnan(row[0]):
-            langs.append(UNKNOWN)
-            beyond.append(True)
-            continue
-        best = int(row.argmin())
-        langs.append(model.langs[best])
-        scores[i] = 1 / np.exp(-(row - row[best]) * model.sharpness).sum()
-        beyond.append(bool(row[best] > model.limits[best]))
-    return langs, np.round(scores, 6), beyond
-
-
-def train(docs: DataFrame) -> Model:
-    """The calibrated model of the training documents of ``docs``."""
-    known = docs.select(docs["doc_id"], docs["text"], docs["lang"])
-    top = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
-    kept = gram_counts(known).withColumn("_r", F.row_number().over(top)).where(F.col("_r") <= MAX_GRAMS).select("lang", "key", "n")
-    table = kept.toArrow()  # MAX_GRAMS rows per language at most
-    lang = np.array(table.column("lang").to_pylist(), object)
-    key, n = table.column("key").to_numpy().view(np.uint64), table.column("n").to_numpy()
-    if len(set(lang)) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    counts = {}
-    for name in sorted(set(lang)):
-        mine = np.flatnonzero(lang == name)
-        mine = mine[np.argsort(key[mine])]
-        counts[name] = (key[mine], n[mine])
-    model = build(counts)
-    sample = (known.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out("doc_id", 4, 2))
-              .select("lang", "text", F.xxhash64("doc_id").alias("h")))
-    ids = sample.select("h").orderBy("h").limit(CALIBRATION_ROWS)
-    rows = [(r.text, r.lang) for r in sample.join(F.broadcast(ids.distinct()), "h").select("lang", "text").limit(2 * CALIBRATION_ROWS).collect()]
-    calibrate(model, rows)
-    return model
-
-
-def calibrate(model: Model, rows: list[tuple[str, str]]) -> None:
-    """Limits: the mean and four deviations of the cross-entropy under the own
-    language, or 1.2 times the largest seen.  Sharpness: the best of a grid by
-    log loss."""
-    rows = [(t, lang) for t, lang in rows if lang in model.langs]
-    got = Scorer(model).entropies([t for t, _ in rows])
-    own = np.array([model.langs.index(lang) for _, lang in rows], np.int64)
-    ok = ~np.isnan(got[:, 0]) if len(rows) else np.zeros(0, bool)
-    got, own = got[ok], own[ok]
-    if not len(own):
-        return
-    mine = got[np.arange(len(own)), own]
-    for j in range(len(model.langs)):
-        seen = mine[own == j]
-        if len(seen):
-            model.limits[j] = max(seen.mean() + 4 * seen.std(), 1.2 * seen.max())
-    losses = {}
-    for sharp in (1.0, 2.0, 5.0, 10.0, 20.0, 50.0):
-        z = -(got - got.min(axis=1, keepdims=True)) * sharp
-        losses[sharp] = -(z[np.arange(len(own)), own] - np.log(np.exp(z).sum(axis=1))).mean()
-    model.sharpness = min(losses, key=lambda s: (round(losses[s], 9), s))
-
-
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang_pred, score, rejected of every document: the whole text is
-    scored.  Null text or none with a letter: und, score 0, rejected."""
+def _add_shard(rows: DataFrame, table: pa.Table, width: int) -> DataFrame:
+    """``sums`` of every row plus what one shard's grams add to them."""
+    keys = table.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    logs = np.array(table.column("logs").combine_chunks().flatten().to_numpy()).reshape(-1, width)[order]
     # plain values: a broadcast is unpickled by executors without this package
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.grams, model.backs, model.floor, model.limits, model.sharpness))
+    shared = rows.sparkSession.sparkContext.broadcast((keys[order], logs))
 
     def run(batches):
         scorer = Scorer(Model(*shared.value))
         for batch in batches:
-            ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
+            texts, before = [t or "" for t in batch.column("text").to_pylist()], batch.column("sums")
             for a, b in chunks(texts):
-                langs, scores, beyond = predict(scorer.model, scorer.entropies(texts[a:b]))
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(langs, pa.string()), pa.array(scores), pa.array(beyond, pa.bool_())],
-                                                 ["doc_id", "lang_pred", "score", "rejected"])
-    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"])
-    return rows.mapInArrow(run, "doc_id bigint, lang_pred string, score double, rejected boolean")
+                sums, units = scorer.sums(texts[a:b])
+                if before.null_count < len(before):
+                    sums = sums + before.slice(a, b - a).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                lists = pa.ListArray.from_arrays(np.arange(0, sums.size + 1, width, dtype=np.int32), pa.array(sums.ravel()))
+                done = {"sums": lists, "units": pa.array(units)}
+                yield pa.RecordBatch.from_arrays([done[n] if n in done else batch.column(n).slice(a, b - a) for n in names], names)
+    names = ["doc_id", "lang", "text", "sums", "units"]
+    return rows.select(*names).mapInArrow(run, "doc_id bigint, lang string, text string, sums array<double>, units bigint")
+
+
+def entropies(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(doc_id, lang of training documents, entropies: nats per character in
+    each language, null without a letter) of every document, and the languages."""
+    known = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"], docs["lang"])
+    rows = known.select("doc_id", F.when(_training(), F.col("lang")).alias("lang"), "text", F.lit(None).cast("array<double>").alias("sums"),
+                        F.lit(0).cast("bigint").alias("units"))
+    counts = materialise(gram_counts(known), "kn_grams")
+    train = counts.where(F.col("lang").isNotNull()).select("lang", "key", F.col("n").cast("double").alias("c"))
+    langs = sorted(r.lang for r in train.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not langs:
+        return rows.select("doc_id", "lang", F.col("sums").alias("entropies")), langs
+    orders = kneser_ney(train)
+    units = orders[0][1].agg(F.max("kinds")).first()[0] + 1
+    table = resolved(counts, orders, langs, -float(np.log(units)))
+    shards = max(1, -(-table.count() * 8 * (1 + len(langs)) // SHARD_BYTES))
+    for shard in range(shards):
+        mine = table.where(F.pmod(F.xxhash64("key"), F.lit(shards)) == shard).toArrow()  # SHARD_BYTES, about
+        rows = _add_shard(rows, mine, len(langs))
+        if shard + 1 < shards:
+            rows = materialise(rows, "kn_sums")
+    per_unit = F.when(F.col("units") > 0, F.transform("sums", lambda x: -x / F.col("units")))
+    return materialise(rows.select("doc_id", "lang", per_unit.alias("entropies")), "entropies"), langs
+
+
+def calibration(scored: DataFrame, langs: list[str]) -> tuple[dict[str, float], float]:
+    """From all training documents: per language the limit (mean and four
+    deviations of the cross-entropy under the own language, or 1.2 times the
+    largest), and the sharpness with the lowest log loss."""
+    rows = scored.where(F.col("lang").isNotNull() & F.col("entropies").isNotNull())
+    rows = rows.select("lang", "entropies", F.get("entropies", F.array_position(F.array(*map(F.lit, langs)), F.col("lang")).cast("int") - 1).alias("own"))
+    best = F.array_min("entropies")
+
+    def loss(sharp: float) -> Column:
+        total = F.aggregate("entropies", F.lit(0.0), lambda acc, e: acc + F.exp(-(e - best) * sharp))
+        return F.sum((F.col("own") - best) * sharp + F.log(total))
+    own = F.col("own")
+    parts = rows.groupBy("lang").agg(F.greatest(F.avg(own) + 4 * F.stddev_pop(own), 1.2 * F.max(own)).alias("limit"),
+                                     F.count(F.lit(1)).alias("n"), *[loss(s).alias(f"loss{i}") for i, s in enumerate(SHARPNESS)]).collect()  # one row a language
+    n = sum(r.n for r in parts)
+    losses = [round(sum(r[f"loss{i}"] for r in sorted(parts, key=lambda r: r.lang)) / n, 9) if n else 0.0 for i in range(len(SHARPNESS))]
+    return {r.lang: r.limit for r in parts}, SHARPNESS[losses.index(min(losses))] if n else 10.0
+
+
+def predict(langs: list[str], limits: dict[str, float], sharpness: float, entropies: list) -> tuple[list[str], list[float], list[bool]]:
+    """Language, score, and whether the text is beyond its language's limit."""
+    names, scores, beyond = [], [], []
+    for row in entropies:
+        if row is None:
+            names.append(UNKNOWN)
+            scores.append(0.0)
+            beyond.append(True)
+            continue
+        e = np.asarray(row)
+        best = int(e.argmin())
+        names.append(langs[best])
+        scores.append(round(float(1 / np.exp(-(e - e[best]) * sharpness).sum()), 6))
+        beyond.append(bool(e[best] > limits.get(langs[best], np.inf)))
+    return names, scores, beyond
 
 
 def language_report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, rejected.
 
     Trained on the documents that are not held out and have text and lang;
-    without any, every prediction is und.  Repeated rows are predicted one by
-    one; other columns are ignored.
+    without any, every prediction is und.  Null text or none with a letter:
+    und, score 0, rejected.  Ties between languages go to the first by name.
+    Repeated rows are predicted (and learnt from) one by one; other columns
+    are ignored.
     """
-    return (identify(docs, train(docs))
-            .select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "rejected"))
+    scored, langs = entropies(docs)
+    limits, sharpness = calibration(scored, langs) if langs else ({}, 10.0)
+
+    def run(batches):
+        for batch in batches:
+            names, scores, beyond = predict(langs, limits, sharpness, batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(beyond, pa.bool_())],
+                                             ["doc_id", "lang_pred", "score", "rejected"])
+    out = scored.select("doc_id", "entropies").mapInArrow(run, "doc_id bigint, lang_pred string, score double, rejected boolean")
+    return out.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "rejected")
