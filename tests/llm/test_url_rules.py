@@ -41,6 +41,29 @@ def test_awkward_urls(spark):
     assert judged(spark, URLS, U.RULES) == {i: plain(u, U.RULES) for i, u in enumerate(URLS)}
 
 
+def test_long_urls_are_judged(spark):
+    """A url of 100 KB with thousands of labels and segments, among rules of
+    several depths."""
+    long = ["http://" + "l." * 25_000 + "example.net/en/" + "s/" * 25_000, "http://example.com/" + "de/" * 30_000, "x://" + "net." * 20_000 + "org/fr/" * 9]
+    rules = [*U.RULES, ("l.l.l.example.net/en/s/s/s/", "block"), ("a/b/c/d/e/", "block")]
+    assert judged(spark, long + URLS, rules) == {i: plain(u, rules) for i, u in enumerate(long + URLS)}
+
+
+@pytest.mark.parametrize("hashes", [1, 7, 300])
+def test_keys_that_share_a_hash(spark, monkeypatch, hashes):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(U, "_key", lambda text: F.pmod(F.xxhash64(text), F.lit(hashes)))
+    urls = URLS + [f"http://h{i}.example{i % 9}.net/p{i % 50}/" for i in range(200)]
+    rules = U.RULES + [(f"h{i}.example{i % 9}.net/", "block" if i % 3 else "allow") for i in range(0, 220, 2)]
+    assert judged(spark, urls, rules) == {i: plain(u, rules) for i, u in enumerate(urls)}
+
+
+def test_repeated_and_null_pages(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/"), (1, "http://a.net/"), (None, "http://a.org/fr/"), (2, None)], "page_id bigint, url string")
+    got = sorted(map(tuple, U.judge(pages, U.rule_table(spark)).collect()), key=repr)
+    assert got == sorted([(1, "a.net", "/", "net/", "block")] * 2 + [(None, "a.org", "/fr/", "org/fr/", "allow"), (2, "", "", None, "allow")], key=repr)
+
+
 def test_many_rules_need_many_levels(spark):
     urls = [f"http://h{i}.example{i % 9}.net/p{i % 50}/q{i}/" for i in range(1500)]
     rules = [(f"h{i}.example{i % 9}.net/", "block" if i % 3 else "allow") for i in range(0, 1500, 2)] + [(f"example3.net/p{i}/", "allow") for i in range(25)]

@@ -1,14 +1,18 @@
 """URL rules by a Bloom filter cascade.
 
 A rule covers a host with its subdomains and the paths that begin with the
-rule's path.  Every url yields candidate keys: each suffix of its host with
-each leading part of its path.  The distinct candidates of the corpus are the
-complete universe of keys that will ever be asked for.  Level 1 of the cascade
+rule's path.  Every url yields candidate keys: the suffixes of its host and the
+leading parts of its path that are as deep as some listed rule (deeper ones
+cannot be listed).  The distinct candidates of the corpus are the complete
+universe of keys that will ever be asked for.  Level 1 of the cascade
 encodes the listed keys; keys of the universe that it passes wrongly are
 encoded by level 2, listed keys that level 2 passes wrongly by level 3, and so
 on until a level has no false positive.  The first level a key fails tells,
 exactly, whether it is listed, so urls are judged without a join.
 
+Keys are hashed.  Where a listed key shares its hash with another candidate,
+the cascade leaves that hash out and the listed texts decide.
+
 Filters are built from keys hashed in Spark: a level is the set of bit places
 its keys map to, aggregated distinctly.  A cascade over a rule list above
 ``SHARD_KEYS`` is made in shards of the key hash, and one shard at a time
@@ -46,16 +50,22 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\A.*?://[^/?#]*([^?#]*)", 1)
 
 
-def _with_candidates(rows: DataFrame) -> DataFrame:
-    """Add ``texts``: the keys a rule for a url can have, host suffixes by path
-    heads that end in /."""
+def depth_of(rule: Column) -> Column:
+    """How many labels a rule's host and how many slashes its path has."""
+    host = F.substring_index(rule, "/", 1)
+    return F.struct(F.size(F.split(host, r"\.")).alias("labels"), (F.size(F.split(rule, "/")) - 1).alias("heads"))
+
+
+def _with_candidates(rows: DataFrame, depths: list[tuple[int, int]]) -> DataFrame:
+    """Add ``texts``: the keys a rule for a url can have, one for each depth
+    (labels of the host from the right, slashes of the path from the left)
+    that the url reaches."""
     rows = rows.withColumns({"labels": F.split("host", r"\."), "parts": F.split("path", "/")})
-    rows = rows.withColumns({
-        "suffixes": F.transform("labels", lambda _, i: F.array_join(F.slice("labels", i + 1, F.size("labels")), ".")),
-        "heads": F.transform(F.slice("parts", 1, F.greatest(F.size("parts") - 1, F.lit(0))),
-                             lambda _, i: F.concat(F.array_join(F.slice("parts", 1, i + 1), "/"), F.lit("/")))})
-    texts = F.flatten(F.transform("suffixes", lambda h: F.transform("heads", lambda p: F.concat(h, p))))
-    return rows.withColumn("texts", texts).drop("labels", "parts", "suffixes", "heads")
+    shapes = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in depths]).cast("array<struct<a:int,b:int>>")
+    fits = F.filter(shapes, lambda d: (F.size("labels") >= d["a"]) & (F.size("parts") > d["b"]))
+    texts = F.transform(fits, lambda d: F.concat(F.array_join(F.slice("labels", F.size("labels") - d["a"] + 1, d["a"]), "."),
+                                                 F.array_join(F.slice("parts", F.lit(1), d["b"]), "/"), F.lit("/")))
+    return rows.withColumn("texts", texts).drop("labels", "parts")
 
 
 @dataclass
@@ -151,44 +161,55 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
     """
     if not rules.where(~F.col("rule").endswith("/")).isEmpty():
         raise ValueError("a rule's path ends in /")
-    rows = _with_candidates(pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")))
+    # Depths are pairs of small numbers, however many rules have them.
+    depths = sorted(tuple(r) for r in rules.select(depth_of(F.col("rule")).alias("d")).distinct().select("d.labels", "d.heads").collect())
+    rows = _with_candidates(pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")), depths)
     universe = materialise(rows.select(F.explode("texts").alias("text")).distinct().select(_key(F.col("text")).alias("key"), "text"), "url-keys")
-    if universe.select("key").distinct().count() != universe.count():
-        raise RuntimeError("two candidate keys share a hash")  # 64 bits: expected once in 10^19 pairs
-    wanted = rules.select(_key(F.col("rule")).alias("key"), "verdict").distinct()
-    hit = materialise(wanted.join(universe.select("key"), "key", "left_semi"), "url-listed")
+    wanted = rules.groupBy(F.col("rule").alias("text")).agg(F.max("verdict").alias("verdict"))
+    hit = materialise(universe.join(wanted, "text"), "url-listed")
+    twice = universe.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    clash = materialise(hit.join(twice, "key", "left_semi"), "url-clashes")
     shards = max(1, -(-hit.count() // SHARD_KEYS))
     out = rows.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(None).cast("string")})
     for shard in range(shards):
         mine = F.pmod(F.xxhash64("key"), F.lit(shards)) == shard
-        keys, member = universe.where(mine).select("key"), hit.where(mine)
-        cascade = build_cascade(keys, member.select("key"))
+        texts = clash.where(mine)
+        keys, member = (x.where(mine).join(texts.select("key").distinct(), "key", "left_anti") for x in (universe, hit))
+        cascade = build_cascade(keys.select("key").distinct(), member.select("key"))
         blocks = build_cascade(member.select("key"), member.where("verdict = 'block'").select("key"))
-        out = _apply(out, cascade, blocks)
+        out = _apply(out, cascade, blocks, texts)
     return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 
-def _apply(rows: DataFrame, cascade: list[Level], blocks: list[Level]) -> DataFrame:
-    """The longest listed candidate of each row, if longer than its rule so far."""
+def _apply(rows: DataFrame, cascade: list[Level], blocks: list[Level], texts: DataFrame) -> DataFrame:
+    """The longest listed candidate of each row, if longer than its rule so
+    far; ``texts`` (key, text, verdict) are listed keys whose hash is shared."""
     # plain values: a broadcast is unpickled by executors without this package
     levels = rows.sparkSession.sparkContext.broadcast([[(x.bits, x.size, x.seed) for x in c] for c in (cascade, blocks)])
+    # Listed keys of one shard at most, and hardly ever any.
+    exact = rows.sparkSession.sparkContext.broadcast([(r.key, r.text, r.verdict) for r in texts.collect()])
     with_keys = rows.withColumn("keys", F.transform("texts", _key))
     held = [f for f in rows.schema if f.name != "texts"]
 
     def run(batches):
         inside, blocking = ([Level(*x) for x in c] for c in levels.value)
+        shared = np.array(sorted({k for k, _, _ in exact.value}), np.int64).view(np.uint64)
+        by_text = {text: verdict for _, text, verdict in exact.value}
         for batch in batches:
             lists = batch.column("keys")
             keys = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-            found = np.flatnonzero(listed(inside, keys)) if inside else np.zeros(0, np.int64)
+            unclear = np.isin(keys, shared)
+            found = np.flatnonzero(listed(inside, keys) & ~unclear) if inside else np.zeros(0, np.int64)
             texts = batch.column("texts").flatten()
             rule, verdict = batch.column("rule").to_pylist(), batch.column("verdict").to_pylist()
             block = listed(blocking, keys[found]) if blocking else np.zeros(len(found), bool)
-            for k, is_block in zip(found.tolist(), block.tolist(), strict=True):
-                text, row = texts[k].as_py(), owner[k]
+            fits = [(k, texts[k].as_py(), "block" if b else "allow") for k, b in zip(found.tolist(), block.tolist(), strict=True)]
+            fits += [(k, text, by_text[text]) for k in np.flatnonzero(unclear).tolist() if (text := texts[k].as_py()) in by_text]
+            for k, text, answer in fits:
+                row = owner[k]
                 if rule[row] is None or (len(text), text) > (len(rule[row]), rule[row]):
-                    rule[row], verdict[row] = text, "block" if is_block else "allow"
+                    rule[row], verdict[row] = text, answer
             done = {"rule": pa.array(rule, pa.string()), "verdict": pa.array(verdict, pa.string())}
             yield pa.RecordBatch.from_arrays([done[n] if n in done else batch.column(n) for n in names], names)
 
