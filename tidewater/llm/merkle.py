@@ -197,7 +197,8 @@ def manifest(docs: DataFrame) -> DataFrame:
     leaf = leaf_of(*col.values())
     changed = F.when(tampered(col["doc_id"]) & (lower != col["text"]), leaf_of(*(col | {"text": lower}).values())).otherwise(leaf)
     rows = docs.select(col["doc_id"].cast("bigint").alias("doc_id"), tree_of(col["lang"]).alias("tree"), leaf.alias("node"), changed.alias("changed"))
-    leaves = numbered(rows, ["doc_id", "node"], "leaves")
+    # Written first: texts are hashed once, not again for the range bounds.
+    leaves = numbered(materialise(rows, "leaf_rows"), ["doc_id", "node"], "leaves")
     low = layers(leaves)
     # The trees' roots are the nodes of one more tree.
     subroots = low[-1].select(F.lit("").alias("tree"), F.col("tree").alias("part"), "node")
