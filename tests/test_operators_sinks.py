@@ -95,3 +95,8 @@ def test_suite_scans_a_model_once(spark):
     assert plan.count("Relation [") == 1
     assert sorted((r.column_name, r.test, r.failures) for r in report.collect()) == sorted(
         [("k", "unique", 2), ("v", "unique", 3), ("k", "not_null", 2), ("w", "accepted_values", 1), ("v", "not_null", 0)])
+
+
+def test_suite_without_tests_is_empty(spark):
+    from tidewater.operators import run_suite
+    assert run_suite({}, []).count() == 0

@@ -17,7 +17,7 @@ import json
 
 from .plans import customers as cu
 from .plans import nested, weather
-from .plans.raw_load import load_raw_files
+from .plans.raw_load import load_raw_files, load_routed
 from .session import build_session, input_bytes, size_for_input
 from .sinks.tables import as_partitioned_table
 
@@ -49,6 +49,7 @@ def main(argv=None) -> int:
     load = sub.add_parser("load-files")
     load.add_argument("--glob", required=True)
     load.add_argument("--output", required=True)
+    load.add_argument("--database", help="route files to tables of this database")
     args = ap.parse_args(argv)
 
     if args.cmd == "list":
@@ -57,7 +58,12 @@ def main(argv=None) -> int:
         return 0
     spark = build_session(app_name=f"tidewater-{args.cmd}")
     if args.cmd == "load-files":
-        print(json.dumps(load_raw_files(spark, args.glob, args.output)))
+        landed = [f for f in (args.glob.rsplit("/", 1)[0],) if "*" not in f]
+        size_for_input(spark, input_bytes(spark, *landed), expansion=1.0)
+        if args.database:
+            print(json.dumps(load_routed(spark, args.glob, args.output, args.database)))
+        else:
+            print(json.dumps(load_raw_files(spark, args.glob, args.output)))
         return 0
     needs, plan = MODELS[args.model]
     paths = dict(x.split("=", 1) for x in args.input)

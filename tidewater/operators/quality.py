@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -79,7 +79,9 @@ def run_suite(models: dict, tests: list) -> DataFrame:
         counts = cells.where("c.value is not null").groupBy("c.idx", "c.once", "c.value").agg(F.count(F.lit(1)).alias("n"))
         part = counts.groupBy("idx").agg(F.sum(F.when(F.col("once") & (F.col("n") == 1), 0).otherwise(F.col("n"))).alias("failures"))
         out = part if out is None else out.unionByName(part)
-    spark = out.sparkSession
+    spark = out.sparkSession if out is not None else SparkSession.active()
+    if out is None:  # no tests: an empty report
+        out = spark.createDataFrame([], "idx int, failures bigint")
     meta = spark.createDataFrame([(i, t.model, t.column, t.test) for i, t in enumerate(tests)],
                                  "idx int, model string, column_name string, test string")
     # one row per declared test with a failure

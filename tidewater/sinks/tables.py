@@ -124,6 +124,11 @@ def _days(batch: DataFrame, part: str) -> list:
     return [r[0] for r in batch.select(part).distinct().collect()]
 
 
+def stored_rows(spark: SparkSession, path: str, batch: DataFrame, part: str = "fetched_date") -> DataFrame | None:
+    """The table at ``path``, only the batch's days; None if there is none."""
+    return spark.read.parquet(path).where(F.col(part).isin(_days(batch, part))) if _exists(spark, path) else None
+
+
 def new_rows(spark: SparkSession, batch: DataFrame, path: str, key: str = "row_id",
              part: str = "fetched_date") -> DataFrame:
     """Rows of ``batch`` not yet in the table at ``path``, one per key.
@@ -132,8 +137,7 @@ def new_rows(spark: SparkSession, batch: DataFrame, path: str, key: str = "row_i
     the row keys of the batch's days are read); the rows themselves are read
     once more and neither sorted nor shuffled but where a key repeats or more
     than ``BROADCAST_KEYS`` keys are stored already."""
-    stored = spark.read.parquet(path).where(F.col(part).isin(_days(batch, part))) if _exists(spark, path) else None
-    return _without(batch, key_exceptions(batch, stored, key, part), key, part)
+    return _without(batch, key_exceptions(batch, stored_rows(spark, path, batch, part), key, part), key, part)
 
 
 @contextlib.contextmanager
