@@ -151,15 +151,14 @@ class NewestHours:
                 return
             hours = pickle.loads(state.get[0]) if state.exists else {}
             for frame in frames:
-                texts = frame[["city", "country", "temp_c", "lat", "lon", "fetched"]].astype(object)
-                frame = frame[["time_epoch", "place"]].join(texts.where(texts.notna(), None))
-                for r in frame.itertuples(index=False):
-                    if r.time_epoch not in hours or r.place > hours[r.time_epoch][0]:
-                        hours[r.time_epoch] = (r.place, r.city, r.country, r.lat, r.lon, r.temp_c, r.fetched)
+                # plain lists: a window's rows are few, and windows are many
+                for epoch, place, *row in zip(*(frame[c].tolist() for c in ("time_epoch", "place", *columns[1:7])), strict=True):
+                    if epoch not in hours or place > hours[epoch][0]:
+                        hours[epoch] = (place, *(None if v is None or v != v else v for v in row))
             state.update((pickle.dumps(hours),))
             if evict:
                 state.setTimeoutTimestamp(max((int(key[2]) + 1) * 86_400_000, state.getCurrentWatermarkMs() + 1))
-            total = str(sum(row[-1] or 0 for row in hours.values()))
+            total = str(sum(int(row[-1] or 0) for row in hours.values()))
             yield pd.DataFrame([(epoch, *row[1:], len(hours), total) for epoch, row in hours.items()], columns=columns)
 
         found = rows.groupBy("lat_key", "lon_key", "day").applyInPandasWithState(
