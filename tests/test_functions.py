@@ -130,3 +130,50 @@ def test_initcap_matches_rule(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r.x for r in df.select(fn.initcap_sql("t").alias("x")).collect()]
     assert got == [_initcap_rule(t) for t in texts]
+
+
+def test_title_matches_python_on_every_letter_and_sigma(spark):
+    # letters whose case mapping is newer than Python's tables (Unicode 16)
+    newer = {0x19B, 0x264, 0x1C89, 0x1C8A, 0xA7CB, 0xA7CC, 0xA7CD, 0xA7DA, 0xA7DB, 0xA7DC}
+    letters = [chr(i) for i in range(1, 0x10000) if not 0xD800 <= i <= 0xDFFF and i not in newer]
+    texts = [t for c in letters for t in (c, "a" + c + "b", c + "a")] + ["ΟΔΟΣ ΣΑΣ'Α Σ", "ΑΣ'Α", "ΑΣ-", "İİ iİx", "i\u0307x", "😀a𐐀𐐀", "", " ", "é"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", fn.title_python("t").alias("x")).collect()
+    assert [(r.t, r.x, r.t.title()) for r in got if r.x != r.t.title()] == []
+
+
+DATES = ["2024-01-05", "2024-1-5", "2024-01-05T10:00:00Z", "2024-01-05T10:00:00.123", "2024-01-05 10:00:00+02:00", "2024-01-05T23:30:00-0500", "2024/01/05", "20240105",
+         "Jan 5, 2024", "January 5 2024", "5 Jan 2024", "05-Jan-2024", "5 march 2024", "01/05/2024", "13/05/2024", "1-5-2024", "2024-01", "2024/03", "2024", "2024-Jan-05",
+         "Fri, 05 Jan 2024 10:00:00 GMT", "Jan 5, 2024 10:30 PM", "Sept 3, 2024", " 2024-02-29 ", "2024-01-05 10:30", "2024-01-05 10:30 UTC", "1.5.2024"]
+NO_DATES = ["2023-02-29", "2024-13-45", "2024-01-05 25:00", "2024-01-05T10:61:00", "not a date", "", "Foo 5, 2024", "2024-01-05x", "32/01/2024", "2024-01-05 10:00:00+2500", "05/2024/01"]
+
+
+def test_dates_match_pandas_value_by_value(spark):
+    import pandas as pd
+    df = spark.createDataFrame([(t,) for t in DATES + NO_DATES], "t string").select("t", fn.to_date_coerce("t").alias("d"))
+    got = {r.t: r.d for r in df.collect()}
+    want = {t: pd.to_datetime(t, errors="coerce") for t in DATES}
+    assert {t: got[t] for t in DATES} == {t: w.date() for t, w in want.items()}
+    assert all(got[t] is None for t in NO_DATES)
+
+
+JSON_TEXTS = ['{\n "k" : "\\u00e5",\t"a":1}', '[ ]', '{}', ' [1,[2 , {"b":{}}],"x, y: z"] ', '"\\ud83d\\ude00\\/\\u001f\\u000a\\u0022\\u005c"', '"\\\\u0041 \\\\"', "null", "-1.5",
+              '{"å":"\u2028\x7f","a\\tb":[true,false,null]}', '"' + "x\\n" * 100_000 + '"', "[" * 300 + "]" * 300]
+
+
+def test_json_rewritten_matches_python(spark):
+    import json
+    df = spark.createDataFrame([(t,) for t in JSON_TEXTS], "t string").select("t", fn.json_rewritten("t").alias("x"))
+    assert [(r.t, r.x) for r in df.collect() if r.x != json.dumps(json.loads(r.t), ensure_ascii=False)] == []
+    # numbers, repeated keys and halves of a pair stay as written
+    for kept in ['{"a": 1.50, "a": 1E5}', '"\\ud83d x"']:
+        assert _one(spark, fn.json_rewritten("t"), kept) == kept
+    for bad in ["[1] x", '{"a":', "", None]:
+        assert _one(spark, fn.json_rewritten("t"), bad) is None
+
+
+def test_scan_rewrites_escaped_pretty_printed_files(spark, tmp_path):
+    from tidewater.sources.files import scan_json_files
+    (tmp_path / "a.json").write_text('{\n  "k": "\\u00e5",\n  "a": 1\n}\n', encoding="utf-8")
+    (tmp_path / "b.json").write_text("[1] x", encoding="utf-8")
+    got = sorted(r.raw_json for r in scan_json_files(spark, f"{tmp_path}/*.json", normalise=True).collect())
+    assert got == ["[1] x", '{"k": "å", "a": 1}']

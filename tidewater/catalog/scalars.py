@@ -116,16 +116,34 @@ def to_numeric_coerce(spark, sf_dir):
     return c.select("c_custkey", fn.to_numeric_coerce(s).alias("customer_id"))
 
 
+# Layouts of a date d, by customer number; the last three are no dates.
+_DATE_TEXTS = ("yyyy-MM-dd", "yyyy-MM-dd'T'10:00:00'Z'", "yyyy-MM-dd 23:59:59.123", "yyyy-MM-dd'T'10:00:00+02:00", "yyyy/MM/dd", "yyyyMMdd",
+               "MM/dd/yyyy", "MMM d, yyyy", "d MMMM yyyy", "dd-MMM-yyyy", "EEE, dd MMM yyyy 07:08:09 'GMT'", "yyyy-MM", "2024-13-45", "'not a date'", "yyyy-MM-dd 25:00")
+
+
 @register("to_date_coerce", """
-SELECT c_custkey, CASE WHEN c_custkey % 4 IN (0, 3) THEN DATE '2024-01-01' + CAST(c_custkey % 365 AS INTEGER) END AS d
+SELECT c_custkey, CASE WHEN c_custkey % 15 = 11 THEN date_trunc('month', DATE '2024-01-01' + CAST(c_custkey % 365 AS INTEGER))::DATE
+                       WHEN c_custkey % 15 < 11 THEN DATE '2024-01-01' + CAST(c_custkey % 365 AS INTEGER) END AS d
 FROM customer""")
 def to_date_coerce(spark, sf_dir):
-    """FN-17: tolerant date parse; bad text -> NULL."""
+    """FN-17: tolerant date parse by the literal's shape; bad text -> NULL."""
     c = fx.customer_objects(_t(spark, sf_dir, "customer"))
-    m = F.col("c_custkey") % 4
-    s = (F.when(m == 0, F.col("signup_date")).when(m == 1, F.lit("2024-13-45"))
-         .when(m == 2, F.lit("not a date")).otherwise(F.concat(F.col("signup_date"), F.lit("T10:00:00"))))
-    return c.select("c_custkey", fn.to_date_coerce(s).alias("d"))
+    day = F.col("signup_date").cast("date")
+    text = F.lit(None).cast("string")
+    for i, layout in enumerate(_DATE_TEXTS):
+        text = F.when(F.col("c_custkey") % 15 == i, F.date_format(day, layout)).otherwise(text)
+    return c.select("c_custkey", fn.to_date_coerce(text).alias("d"))
+
+
+@register("json_rewritten", """
+SELECT c_custkey, '{"name": "' || c_name || ' å😀 / \\"q\\"\\n", "id": ' || c_custkey ||
+  ', "tags": [], "o": {"b": null, "a": [1.50, true, "x,y:z", "\\\\u0041"]}}' AS raw_json FROM customer""")
+def json_rewritten(spark, sf_dir):
+    """FN-24 / SRC-1: escaped, pretty-printed documents re-serialised."""
+    c = _t(spark, sf_dir, "customer")
+    text = F.concat(F.lit('{\n  "name" : "'), F.replace("c_name", F.lit("#"), F.lit("\\u0023")), F.lit(r' \u00e5\uD83D\ude00 \/ \u0022q\"\u000A",\t"id":'.replace(r"\t", "\t")),
+                    F.col("c_custkey").cast("string"), F.lit(',\r\n"tags":[ ], "o" :{ "b" :null , "a":[1.50,true, "x,y:z","\\\\u0041"]\n}\n}'))
+    return c.select("c_custkey", fn.json_rewritten(text).alias("raw_json"))
 
 
 @register("epoch_to_timestamp", """

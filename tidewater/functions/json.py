@@ -198,6 +198,43 @@ def json_text(c: ColumnOrName) -> Column:
     return F.to_json(_c(c))
 
 
+# Possessive repeats: a long string is matched in a loop, without recursion.
+_JSON_TOKEN = r'("[^"\\]*+(?:\\.[^"\\]*+)*+"|[\[\]{},:]|[^"\[\]{},:\s]+)'
+_STRING_PIECE = r"([^\\]++|\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\.)"
+
+# Characters that stay escaped in JSON text, and how.
+_SHORT_ESCAPES = {"0008": r"\b", "0009": r"\t", "000a": r"\n", "000c": r"\f", "000d": r"\r", "0022": r"\"", "005c": r"\\"}
+
+
+def _unescaped(piece: Column) -> Column:
+    """One piece of a JSON string literal without needless escapes."""
+    code = F.lower(F.substring(piece, 3, 4))
+    short = F.lit(None).cast("string")
+    for digits, escape in _SHORT_ESCAPES.items():
+        short = F.when(code == digits, F.lit(escape)).otherwise(short)
+    pair = F.decode(F.unhex(F.concat(code, F.substring(piece, 9, 4))), "UTF-16BE")
+    return (F.when(piece == r"\/", F.lit("/")).when(~piece.startswith("\\u"), piece)
+            .when(F.length(piece) == 12, pair)
+            .when(short.isNotNull(), short)
+            # other control characters, and halves of a pair, have no other form
+            .when(code.rlike("^(00[01]|d[89a-f])"), F.concat(F.lit("\\u"), code))
+            .otherwise(F.decode(F.unhex(code), "UTF-16BE")))
+
+
+def json_rewritten(text: ColumnOrName) -> Column:
+    """FN-24 for a document's text: the same JSON with ``, `` and ``: `` as its
+    only white space outside strings, and characters instead of ``\\u`` escapes
+    (``json.dumps(json.loads(text), ensure_ascii=False)``).  Keys keep their
+    order, repeated keys stay, numbers stay as written; half a surrogate pair
+    stays escaped.  NULL for NULL and for text that is not one document."""
+    t = _c(text)
+    tokens = F.regexp_extract_all(t, F.lit(_JSON_TOKEN), F.lit(1))
+    string = lambda s: F.array_join(F.transform(F.regexp_extract_all(s, F.lit(_STRING_PIECE), F.lit(1)), _unescaped), "")
+    written = F.transform(tokens, lambda s: F.when(s == ",", F.lit(", ")).when(s == ":", F.lit(": "))
+                          .when(s.contains("\\u") | s.contains(r"\/"), string(s)).otherwise(s))
+    return F.when(is_one_document(t), F.array_join(written, ""))
+
+
 def parse_shape(text: ColumnOrName, ddl: str) -> Column:
     """Parse JSON text against a partial *shape* whose leaves are VARIANT,
     e.g. ``location variant, forecast struct<forecastday: array<variant>>``.

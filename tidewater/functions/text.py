@@ -15,11 +15,11 @@ def _c(c):
 INITCAP_DELIMITERS = " []{}()/|\\<>!?@\"^#$&~_,.:;*%+-"
 
 
-def _capitalise_after(s: Column, boundary_regex: str, head=F.upper) -> Column:
+def _capitalise_after(s: Column, boundary_regex: str) -> Column:
     # Split before every character that follows a boundary character
     # (zero-width look-behind), upper-case the first character of each piece.
     pieces = F.split(s, boundary_regex)
-    fixed = F.transform(pieces, lambda w: F.concat(head(F.substring(w, 1, 1)),
+    fixed = F.transform(pieces, lambda w: F.concat(F.upper(F.substring(w, 1, 1)),
                                                    F.substring(w, 2, 1 << 30)))
     return F.array_join(fixed, "")
 
@@ -33,19 +33,32 @@ def initcap_sql(c) -> Column:
     return _capitalise_after(F.lower(_c(c)), f"(?<=[\\s{esc}])")
 
 
-def _title_case(letter: Column) -> Column:
-    """Title case of one letter: only the first of several capitals stays one
-    (``ß`` -> ``Ss``), and double letters have a form of their own."""
-    upper = F.upper(letter)
-    # fixed values: the capital and title forms of the four double letters
-    return F.translate(F.concat(F.substring(upper, 1, 1), F.lower(F.substring(upper, 2, 8))), "ǄǇǊǱ", "ǅǈǋǲ")
+# Letters that became cased after Unicode 13, in case the JVM's
+# classes are older.
+_NEWER_CASED = "ჼⰯⱟꟀꟁꟐꟑꟓꟕꟖꟗꟘꟙꟲꟳꟴꭩ"
+_CASED = "[\\p{IsUppercase}\\p{IsLowercase}\\p{Lt}" + _NEWER_CASED + "]"
+
+
+def _title_any(s: Column) -> Column:
+    """``title_python`` character by character.  Each one goes with the one
+    before it and with its form in the lower-cased whole (where a sigma depends
+    on its surroundings).  Only ``İ`` has two characters in lower case; it is
+    kept apart, so that the three arrays run alike."""
+    low = F.split(F.lower(F.translate(s, "İ", "I")), "")
+    trios = F.arrays_zip(F.split(s, "").alias("at"), F.split(F.concat(F.lit(" "), s), "").alias("before"), low.alias("low"))
+    # initcap of one character is its title form (ŉ -> ʼN, ǆ -> ǅ, ß -> Ss);
+    # the array of the characters before is one longer, its last trio is null
+    return F.array_join(F.transform(trios, lambda t: F.when(~t["before"].rlike(_CASED), F.initcap(t["at"]))
+                                    .when(t["at"] == "İ", F.lit("i\u0307")).otherwise(t["low"])), "")
 
 
 def title_python(c) -> Column:
-    """FN-14: Python ``str.title()``: a letter is upper-cased when the
-    previous character is not a cased letter, every other letter is
-    lower-cased (``o'neil`` -> ``O'Neil``, ``a1b`` -> ``A1B``)."""
-    return _capitalise_after(F.lower(_c(c)), r"(?<![\p{Lu}\p{Ll}\p{Lt}])", _title_case)
+    """FN-14: Python ``str.title()``: a letter takes its title form when the
+    previous character is not a cased one (Unicode's derived classes), every
+    other letter is lower-cased (``o'neil`` -> ``O'Neil``, ``a1b`` -> ``A1B``).
+    ASCII text is handled by words, other text by characters."""
+    s = _c(c)
+    return F.when(s.rlike(r"^\p{ASCII}*$"), _capitalise_after(F.lower(s), "(?<![A-Za-z])")).otherwise(_title_any(s))
 
 
 def lower(c) -> Column:

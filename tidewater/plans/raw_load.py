@@ -36,12 +36,12 @@ def run_time(spark: SparkSession, fetched_at=None) -> str:
 
 
 def load_raw_files(spark: SparkSession, glob: str, target: str, fetched_at=None,
-                   prefix: str = "raw_") -> dict:
+                   prefix: str = "raw_", normalise: bool = False) -> dict:
     """P-14: append the landed files to the raw store at ``target``
     (partitioned by fetch day; ``table_name`` names each row's table).
     Returns the load summary; bad files are counted, not loaded.  The write
-    counts both kinds itself."""
-    env = scan_json_files(spark, glob, run_time(spark, fetched_at))
+    counts both kinds itself.  ``normalise`` as in ``scan_json_files``."""
+    env = scan_json_files(spark, glob, run_time(spark, fetched_at), normalise)
     rows = with_row_id(require_not_null(env.withColumn("table_name", table_for("source", prefix)), RAW_FILE_COLUMNS), "source")
     rows = new_rows(spark, rows.withColumn("_bad", ~is_one_document("raw_json")), target)
     seen = Observation("files")
@@ -58,11 +58,12 @@ RAW_TABLE_DDL = "raw_json STRING NOT NULL, source STRING NOT NULL, fetched_at TI
 QUARANTINE = "quarantine"
 
 
-def routed_rows(spark: SparkSession, glob: str, fetched_at=None, prefix: str = "raw_") -> DataFrame:
+def routed_rows(spark: SparkSession, glob: str, fetched_at=None, prefix: str = "raw_",
+                normalise: bool = False) -> DataFrame:
     """P-14 up to the write, in one pass over the files: every file with its
     target table by base name; files that are not one JSON document go to the
     ``quarantine`` table.  NULLs in REQUIRED columns fail."""
-    env = with_row_id(scan_json_files(spark, glob, fetched_at), "source")
+    env = with_row_id(scan_json_files(spark, glob, fetched_at, normalise), "source")
     # The catalog takes letters, digits and _ in a name, in any case.
     name = F.regexp_replace(F.lower(table_for("source", prefix)), "[^a-z0-9_]", "_")
     table = F.when(is_one_document("raw_json"), name).otherwise(F.lit(QUARANTINE))
@@ -70,7 +71,7 @@ def routed_rows(spark: SparkSession, glob: str, fetched_at=None, prefix: str = "
 
 
 def load_routed(spark: SparkSession, glob: str, root: str, database: str, fetched_at=None,
-                prefix: str = "raw_", location: str | None = None) -> dict:
+                prefix: str = "raw_", location: str | None = None, normalise: bool = False) -> dict:
     """P-14 with its tables: one write partitioned by table and day, whose
     folders are the catalog tables ``database.<prefix><base name>`` (REQUIRED
     columns, created if absent) and ``database.quarantine``.
@@ -78,11 +79,11 @@ def load_routed(spark: SparkSession, glob: str, root: str, database: str, fetche
     A retry inserts nothing.  Returns the load summary with an error status
     instead of raising: ``status`` (success, no_files, error), ``date``,
     ``location``, ``database``, ``inserted`` and ``skipped`` (quarantined),
-    both counted by the write itself."""
+    both counted by the write itself.  ``normalise`` as in ``scan_json_files``."""
     fetched_at = run_time(spark, fetched_at)
     fields = {"location": location or glob, "date": fetched_at[:10], "database": database}
     try:
-        rows = routed_rows(spark, glob, fetched_at, prefix)
+        rows = routed_rows(spark, glob, fetched_at, prefix, normalise)
         fresh = new_rows(spark, rows, root)
         seen = Observation("routed")
         bad = F.col("table_name") == QUARANTINE

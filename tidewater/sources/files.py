@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import basename, is_one_document, json_text, now_or, safe_parse, strip_json_suffix
+from ..functions import basename, is_one_document, json_rewritten, now_or, strip_json_suffix
 
 
 def read_documents(spark: SparkSession, glob: str) -> DataFrame:
@@ -23,12 +23,13 @@ def scan_json_files(spark: SparkSession, glob: str, fetched_at=None,
     """SRC-1: one raw envelope ``(raw_json, source, fetched_at)`` per file.
 
     The document text is kept as written (trimmed; keys keep their order,
-    non-ASCII stays as is); ``normalise=True`` re-serialises it compactly
-    instead (VARIANT serialisation: keys sorted).  Files that do not parse
-    are kept with their text; ``split_valid`` separates them."""
+    non-ASCII stays as is); ``normalise=True`` re-serialises it instead
+    (``json_rewritten``: same keys in the same order, one spacing, no needless
+    escapes).  Files that do not parse are kept with their text;
+    ``split_valid`` separates them."""
     docs = read_documents(spark, glob)
     text = F.regexp_replace(F.col("text"), r"^\s+|\s+$", "")
-    raw = F.coalesce(json_text(safe_parse(text)), text) if normalise else text
+    raw = F.coalesce(json_rewritten(text), text) if normalise else text
     return docs.select(raw.alias("raw_json"), "source", now_or(fetched_at).alias("fetched_at"))
 
 
