@@ -100,3 +100,46 @@ def test_suite_scans_a_model_once(spark):
 def test_suite_without_tests_is_empty(spark):
     from tidewater.operators import run_suite
     assert run_suite({}, []).count() == 0
+
+
+def test_rank_spread_numbers_a_hot_key_in_many_tasks(spark):
+    i = F.col("id")
+    rows = spark.range(6000).select(F.when(i % 3 == 0, "hot").when(i % 3 == 1, F.concat(F.lit("k"), i % 50)).alias("k"), (i * 7919 % 6007).alias("v"),
+                                    F.when(i % 11 != 0, i % 5).alias("w"), F.lit("x").alias("rn0"))
+    spread = op.rank_spread(rows, ["k"], "w desc, v", ranges=7)
+    want = op.rank_within(rows, ["k"], "w desc, v")
+    assert spread.columns == want.columns and spread.exceptAll(want).isEmpty() and spread.count() == 6000
+    empty = rows.limit(0)
+    assert op.rank_spread(empty, ["k"], "v").collect() == []
+
+
+def test_rank_spread_splits_a_hot_key(spark):
+    """The only key's rows lie in all files, and one task numbers a file's rows."""
+    rows = spark.range(20000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
+    out = op.rank_spread(rows, ["k"], "v", ranges=8)
+    sizes = [r["count"] for r in spark.read.parquet(*out.inputFiles()).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 20000 / 4
+    assert out.where("rn <> v + 1").isEmpty() and out.count() == 20000
+
+
+def test_tested_write_equals_the_suite(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, None), (2, "b"), (None, "c")], "id int, v string")
+    tests = [op.ColumnTest("m", "id", "not_null"), op.ColumnTest("m", "id", "unique"), op.ColumnTest("m", "v", "accepted_values", ["a", "b"]), op.ColumnTest("other", "x", "unique")]
+    path = scratch_path(spark, "tested")
+    got = sorted(map(tuple, op.tested_write(rows, "m", tests, path).collect()))
+    assert got == sorted(map(tuple, op.run_suite({"m": rows}, tests[:3]).collect()))
+    assert [g[3] for g in got] == [1, 2, 1] and spark.read.parquet(path).count() == 4
+    assert {r.status for r in op.tested_write(rows.limit(0), "m", tests, path).collect()} == {"pass"}
+
+
+def test_catalog_view_is_seen_by_a_second_session(spark, sf_dir):
+    hourly = weather.stg_weather_hourly(fx.weather_envelopes(fx.read_table(spark, sf_dir, "events")))
+    path = scratch_path(spark, "view_hourly")
+    name = "hourly_" + path.rsplit("-", 1)[-1]
+    snk.as_table(spark, hourly, name, path)
+    snk.as_catalog_view(spark, f"daily_{name}", weather.daily_view_sql(name))
+    other = spark.newSession()
+    got = sorted(map(repr, other.table(f"daily_{name}").collect()))
+    assert got == sorted(map(repr, weather.fct_weather_daily(spark.table(name)).collect()))
+    # new rows of the table show without a change to the view
+    assert other.table(f"daily_{name}").agg(F.sum("hours_count")).first()[0] == hourly.count()

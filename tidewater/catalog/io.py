@@ -220,6 +220,16 @@ def view_materialised(spark, sf_dir):
     return weather.fct_weather_daily(spark.table(name))
 
 
+@register("view_catalog", DAILY_SQL)
+def view_catalog(spark, sf_dir):
+    """SNK-6: hourly staging as a table, the mart as a catalog view on it."""
+    raw = fx.weather_envelopes(_t(spark, sf_dir, "events"))
+    path = scratch_path(spark, "stg_weather_hourly")
+    run = path.rsplit("-", 1)[-1]   # names unique per run
+    snk.as_table(spark, weather.stg_weather_hourly(raw), f"stg_weather_hourly_{run}", path)
+    return snk.as_catalog_view(spark, f"fct_weather_daily_view_{run}", weather.daily_view_sql(f"stg_weather_hourly_{run}"))
+
+
 @register("table_materialised", DAILY_SQL)
 def table_materialised(spark, sf_dir):
     """SNK-7: the mart rebuilt as a table (overwrite) and read back."""

@@ -30,6 +30,16 @@ def row_number_latest(spark, sf_dir):
     return op.rank_within(o, ["o_custkey"], "o_orderdate desc, o_orderkey desc").drop("o_orderdate")
 
 
+@register("row_number_spread", """
+SELECT l_linestatus, l_orderkey, l_linenumber,
+  row_number() OVER (PARTITION BY l_linestatus ORDER BY l_shipdate DESC, l_orderkey, l_linenumber) AS rn
+FROM lineitem""")
+def row_number_spread(spark, sf_dir):
+    """WIN-1 over two keys, each holding about half of all rows."""
+    rows = _t(spark, sf_dir, "lineitem").select("l_linestatus", "l_shipdate", "l_orderkey", "l_linenumber")
+    return op.rank_spread(rows, ["l_linestatus"], "l_shipdate desc, l_orderkey, l_linenumber").drop("l_shipdate")
+
+
 @register("top1_per_group", """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn

@@ -4,10 +4,10 @@ reproduces the reference's column tests on the staged fixture models."""
 from __future__ import annotations
 
 from .. import fixtures as fx
-from ..operators import ColumnTest, accepted_values, not_null, run_suite, unique
+from ..operators import ColumnTest, accepted_values, not_null, run_suite, tested_write, unique
 from ..plans import customers as cu
 from ..plans import nested, starter
-from ..session import configure
+from ..session import configure, scratch_path
 from .customers import customers_tolerant
 from .registry import oracles, register
 from .sqlfrag import CUSTOMER_OBJECTS
@@ -111,6 +111,27 @@ def dq_report(spark, sf_dir):
     return run_suite(models, SUITE)
 
 
+_EVENT_TESTS = [ColumnTest("events", "event_type", "accepted_values", ACCEPTED_EVENT_TYPES), ColumnTest("events", "event_type", "not_null"),
+                ColumnTest("events", "user_id", "unique"), ColumnTest("events", "event_id", "unique")]
+
+
+def _event_tests_sql():
+    values = ", ".join(repr(v) for v in ACCEPTED_EVENT_TYPES)
+    repeated = "coalesce((SELECT sum(n) FROM (SELECT count(*) AS n FROM events WHERE {0} IS NOT NULL GROUP BY {0} HAVING count(*) > 1)), 0)"
+    rows = [("event_type", "accepted_values", f"(SELECT count(*) FROM events WHERE event_type NOT IN ({values}))"),
+            ("event_type", "not_null", "(SELECT count(*) FROM events WHERE event_type IS NULL)"),
+            ("user_id", "unique", repeated.format("user_id")), ("event_id", "unique", repeated.format("event_id"))]
+    body = " UNION ALL ".join(f"SELECT 'events' AS model, '{c}' AS column_name, '{t}' AS test, CAST({n} AS BIGINT) AS failures" for c, t, n in rows)
+    return f"SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({body})"
+
+
+@register("dq_during_write", _event_tests_sql())
+def dq_during_write(spark, sf_dir):
+    """DQ-1..4 with row-level tests counted by the write of the model."""
+    events = _t(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    return tested_write(events, "events", _EVENT_TESTS, scratch_path(spark, "tested-events"))
+
+
 @register("native_python_model", oracles()["customers_tolerant"])
 def native_python_model(spark, sf_dir):
     """UDF-1 / UDF-2: the tolerant customer model as a mapInPandas model;

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 _RN = "__rn"
 
 
@@ -34,6 +36,38 @@ def rank_within(df: DataFrame, partition_by, order_by, name: str = "rn") -> Data
     return df.withColumn(name, F.row_number().over(w))
 
 
+def rank_spread(df: DataFrame, partition_by, order_by, name: str = "rn", ranges: int | None = None) -> DataFrame:
+    """WIN-1 for hot keys: the numbers of ``rank_within``, with a key's rows
+    numbered in many tasks.
+
+    The rows are written below the shared folder in ranges of (key, order), so
+    a key that exceeds one range goes on in the next.  A row's number is its
+    place among its key's rows of one file, plus the rows of that key in the
+    files before.  At most one key goes on from one file to the next, so the
+    counts to add are fewer than the files; they are broadcast.  ``order_by``
+    should be total: rows that agree in all of it cannot be spread.  Written
+    files outlive lost executors and make the ranges final.  ``ranges`` fixes
+    their number; by default adaptive execution merges small ones."""
+    cols = df.columns
+    part, place, key, before = "__part", "__place", "__key", "__before"
+    keys = [F.col(k) if isinstance(k, str) else k for k in partition_by]
+    order = [F.col(key), *parse_order_by(order_by)]
+    path = scratch_path(df.sparkSession, "rank")
+    keyed = df.withColumn(key, F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]))
+    split = [ranges, *order] if ranges else order
+    keyed.repartitionByRange(*split).sortWithinPartitions(*order).write.parquet(path)
+    stored = df.sparkSession.read.schema(keyed.schema).parquet(path)
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("bigint")
+    rows = stored.select(*cols, key, number.alias(part), F.col("_metadata.row_index").alias(place))
+    earlier = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(key, part).agg(F.count(F.lit(1)).alias("n"))
+    carried = counts.withColumn(before, F.sum("n").over(earlier)).where(F.col(before) > 0).drop("n")
+    carried = carried.select(F.col(key).alias("__k"), F.col(part).alias("__p"), before)
+    local = F.row_number().over(Window.partitionBy(key, part).orderBy(place))
+    joined = rows.withColumn(name, local).join(F.broadcast(carried), F.col(key).eqNullSafe(F.col("__k")) & (F.col(part) == F.col("__p")), "left")
+    return joined.select(*cols, (F.col(name) + F.coalesce(before, F.lit(0))).alias(name))
+
+
 def deduplicate(df: DataFrame, partition_by, order_by) -> DataFrame:
     """WIN-2 / TOP-1: keep the first row per ``partition_by`` under
     ``order_by``; returns the input columns only (``* EXCEPT(rn)``).

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -88,3 +88,25 @@ def run_suite(models: dict, tests: list) -> DataFrame:
     res = meta.join(F.broadcast(out), "idx", "left").withColumn("failures", F.coalesce("failures", F.lit(0)).cast("bigint"))
     return res.select("model", "column_name", "test", "failures",
                       F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"))
+
+
+def tested_write(df: DataFrame, model: str, tests: list, path: str) -> DataFrame:
+    """DQ-4 while a model is written: ``run_suite``'s report of the tests of
+    ``model``, with ``df`` materialised as Parquet at ``path``.
+
+    Row-level tests are metrics observed by the write itself, so they cost no
+    scan.  ``unique`` tests read their own columns of the written files.  The
+    model is written whatever the tests say, like a warehouse model that is
+    tested after its build."""
+    rows = [(i, t) for i, t in enumerate(tests) if t.model == model and t.test in ("not_null", "accepted_values")]
+    seen = Observation("tests")
+    if rows:
+        df = df.observe(seen, *[F.count_if(_failing(t)).alias(f"t{i}") for i, t in rows])
+    df.write.mode("overwrite").parquet(path)
+    # an empty input may leave the metrics unset
+    counts = [(t.model, t.column, t.test, int(seen.get.get(f"t{i}") or 0)) for i, t in rows] if rows else []
+    spark = df.sparkSession
+    report = spark.createDataFrame([(*c, "pass" if c[-1] == 0 else "fail") for c in counts],
+                                   "model string, column_name string, test string, failures bigint, status string")
+    others = [t for t in tests if t.model == model and t.test not in ("not_null", "accepted_values")]
+    return report.unionByName(run_suite({model: spark.read.parquet(path)}, others)) if others else report

@@ -86,3 +86,13 @@ def fct_weather_daily(hourly: DataFrame, also: tuple = ()) -> DataFrame:
     return g.select("weather_day_key", "city", "country", "lat", "lon", "day_utc",
                     F.col("count").alias("hours_count"), F.col("avg").alias("avg_temp_c"),
                     F.col("min").alias("min_temp_c"), F.col("max").alias("max_temp_c"), *also)
+
+
+def daily_view_sql(hourly: str) -> str:
+    """P-2 as the SQL text of a view over the catalog table or view ``hourly``."""
+    return f"""
+SELECT concat(CAST(lat AS STRING), ',', CAST(lon AS STRING), '|', CAST(day_utc AS STRING)) AS weather_day_key,
+       city, country, lat, lon, day_utc, count(*) AS hours_count, round(CAST(avg(temp_c) AS DOUBLE), 6) AS avg_temp_c,
+       CAST(min(temp_c) AS DOUBLE) AS min_temp_c, CAST(max(temp_c) AS DOUBLE) AS max_temp_c
+FROM (SELECT city, country, lat, lon, to_date(observed_at) AS day_utc, temp_c FROM {hourly})
+GROUP BY city, country, lat, lon, day_utc"""

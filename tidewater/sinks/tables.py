@@ -218,6 +218,14 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def as_catalog_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
+    """SNK-6 across sessions: a catalog view from SQL text, re-evaluated on
+    every read.  It may name catalog tables and views only; the catalog keeps
+    the text and the settings (ANSI mode among them) it was made under."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+    return spark.table(name)
+
+
 def as_table(spark: SparkSession, df: DataFrame, name: str, path: str) -> DataFrame:
     """SNK-7: full rebuild of a table stored at ``path``."""
     df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
