@@ -53,3 +53,40 @@ def test_empty_table_and_bad_weights(spark):
     assert M.mixing_plan(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         M.mixing_plan(docs, {"s": 0})
+
+
+@pytest.mark.parametrize("sizes", [{f"s{i:04}": 2_000_000 if i == 7 else 1000 + i for i in range(3000)}, {"a": 5, "b": 10**9}, {f"s{i}": i + 1 for i in range(40)}])
+def test_weights_follow_the_unrounded_targets(sizes):
+    weights = M.default_weights(sizes)
+    total, period = sum(n ** 0.5 for n in sizes.values()), sum(weights.values())
+    targets = {s: n ** 0.5 / total for s, n in sizes.items()}
+    # over a period each source is within one block of its unrounded share
+    lifted = sum(targets[s] * period < 1 for s in sizes)
+    assert period - M.resolution(len(sizes)) <= lifted
+    assert all(abs(weights[s] - targets[s] * period) < 1 + lifted * targets[s] for s in sizes)
+    done = dict.fromkeys(sizes, 0)
+    for s, j, slot, _, _ in M.one_period(weights):
+        done[s] += 1
+        assert abs(done[s] - targets[s] * (slot + 1)) < 2 + lifted * targets[s]
+
+
+def test_ids_in_large_steps_and_null_ids_spread(spark):
+    for step in (1, 1 << 31, 1 << 40):
+        ids = spark.range(4000).select((F.col("id") * step).alias("doc_id"))
+        hashes = ids.select(F.shiftright(M.order_hash(), 24).alias("h"))
+        assert hashes.distinct().count() > 200
+    docs = spark.range(500).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("t").alias("text"), F.lit("s").alias("source"), F.col("id").alias("n_chars"))
+    assert sorted(r.place for r in M.mixing_plan(docs).collect()) == list(range(500))
+
+
+def test_repeated_ids_come_in_one_order_however_rows_fall(spark):
+    rows = [(i % 3, f"t{i % 5}", "en", "ab"[i % 2], i) for i in range(60)]
+    docs = clash(spark.createDataFrame(rows, DOCS), "_tie", "_none")
+    orders = [[tuple(r) for r in M.mixed(docs.repartition(n)).collect()] for n in (1, 3, 8)]
+    assert orders[0] == orders[1] == orders[2] and len(orders[0]) == 60
+
+
+def test_very_large_weights_are_scaled(spark):
+    docs = documents(spark, ["a", "b"])
+    assert M.mixing_plan(docs, {"s": 10 ** 12}).count() == 2
+    assert M.apportioned({"a": 10 ** 12, "b": 1}, 1000) == {"a": 1000, "b": 1}

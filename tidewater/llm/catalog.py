@@ -49,7 +49,10 @@ def op2_language_id(spark, sf_dir):
 # One period of the schedule, step by step, and each document's slot from it.
 MIXING = r"""
 WITH RECURSIVE src AS (SELECT coalesce(source, '') AS s, count(*) AS n FROM documents GROUP BY 1),
-w AS (SELECT s, greatest(1, floor(1000 * sqrt(n) / (SELECT sum(sqrt(n)) FROM src)))::BIGINT AS a FROM src),
+r AS (SELECT greatest(1000, 20 * count(*)) AS slots FROM src),
+x AS (SELECT s, slots, slots * sqrt(n) / (SELECT sum(sqrt(n)) FROM src) AS x FROM src, r),
+w AS (SELECT s, greatest(1, floor(x) + CASE WHEN row_number() OVER (ORDER BY floor(x) - x, s) <= slots - sum(floor(x)) OVER ()
+                                            THEN 1 ELSE 0 END)::BIGINT AS a FROM x),
 l AS (SELECT list(s ORDER BY s) AS names, list(a ORDER BY s) AS a, sum(a)::BIGINT AS p FROM w),
 sim AS (
   SELECT 0::BIGINT AS slot, names, a, p, list_transform(a, lambda x: 0::BIGINT) AS nxt, 1::BIGINT AS pick FROM l
@@ -63,7 +66,8 @@ sim AS (
 plan AS (SELECT names[pick] AS s, a[pick] AS a, p, nxt[pick] - 1 AS j, slot - 1 AS turn FROM sim WHERE slot > 0),
 d AS (SELECT doc_id, coalesce(source, '') AS s,
              row_number() OVER (PARTITION BY coalesce(source, '')
-               ORDER BY ((doc_id % 2147483648) * 2654435761) % 4294967296, doc_id) - 1 AS place FROM documents)
+               ORDER BY (((doc_id % 2147483648) * 2654435761) % 4294967296
+                         + ((doc_id >> 31) * 2246822519) % 4294967296) % 4294967296, doc_id) - 1 AS place FROM documents)
 SELECT doc_id, d.s AS source, place // 8 AS block, ((place // 8) // a) * p + turn AS slot,
        (place // 8) * p // a AS release, ((place // 8 + 1) * p + a - 1) // a AS deadline, place
 FROM d JOIN plan ON plan.s = d.s AND plan.j = (place // 8) % a

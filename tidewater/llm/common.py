@@ -34,6 +34,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_hash(df: DataFrame, exclude: tuple = ()) -> Column:
+    """One number for a whole row: what orders rows that agree in all else."""
+    cols = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+            for f in df.schema.fields if f.name not in exclude]
+    return F.xxhash64(*cols)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a frame made by ``materialise``."""
     spark = df.sparkSession
