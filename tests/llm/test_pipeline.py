@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brute import DOCS, base_rules, clash, documents, exact_groups
 from test_simhash import brute
-from tidewater.llm import mixing, quality_rules as Q
+from tidewater.llm import exact_dedup, mixing, quality_rules as Q, simhash
 
 CLEAN = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(12)]
 TEXTS = CLEAN + [CLEAN[0] + " ", CLEAN[1], CLEAN[2].upper(), None, "", "too short", "r s t u v " * 30]
@@ -60,3 +60,13 @@ def test_empty_corpus(spark, tmp_path):
     documents(spark, ["x"]).where(F.lit(False)).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_kept_rows_do_not_depend_on_how_rows_fall(spark):
+    """Rows that share id and text but no other column, null ids among them."""
+    rows = [(i % 4 if i % 7 else None, CLEAN[i % 4], "en", f"s{i % 5}", i) for i in range(70)]
+    docs = clash(spark.createDataFrame(rows, DOCS), "_tie", "row")
+    for drop in (exact_dedup.drop_copies, simhash.drop_near_copies):
+        kept = [sorted(map(repr, drop(docs.repartition(n)).collect())) for n in (1, 3, 8)]
+        assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 4
+        assert drop(docs).columns == docs.columns

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WHITESPACE, discard, materialise, whole_text
+from .common import WHITESPACE, discard, materialise, row_hash, whole_text
 
 BUCKET_KEYS = 4096  # keys a bucket holds before it splits
 
@@ -126,14 +126,16 @@ def exact_groups(docs: DataFrame, capacity: int = BUCKET_KEYS, key: Callable[[Co
 
 def drop_copies(docs: DataFrame, capacity: int = BUCKET_KEYS) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns of ``docs``; of rows
-    repeated with one doc_id and equal text, one."""
+    repeated with one doc_id and equal text, the one with the smallest hash of
+    the whole row.  Null texts count as empty, null ids come last, an empty
+    table gives none."""
     index = build_index(docs, capacity).select(
         F.col("key").alias("k"), F.col("text_sha256").alias("sha"), F.col("keep_id").alias("id"), F.col("keep_points").alias("points"))
     norm = normalised(F.col("row.text"))
-    rows = docs.select(F.struct("*").alias("row")).select(
-        "row", F.xxhash64(norm).alias("_k"), F.sha2(F.encode(norm, "UTF-8"), 256).alias("_sha"),
+    rows = docs.select(F.struct("*").alias("row"), row_hash(docs).alias("_tie")).select(
+        "row", "_tie", F.xxhash64(norm).alias("_k"), F.sha2(F.encode(norm, "UTF-8"), 256).alias("_sha"),
         F.col("row.doc_id").alias("_id"), F.length(whole_text(F.col("row.text"))).cast("bigint").alias("_points"))
     # The key holds the doc_id, so a large group spreads over all tasks.
     kept = rows.join(index, (F.col("_k") == F.col("k")) & (F.col("_sha") == F.col("sha"))
                      & F.col("_id").eqNullSafe(F.col("id")) & (F.col("_points") == F.col("points")), "left_semi")
-    return kept.dropDuplicates(["_k", "_sha", "_id", "_points"]).select("row.*")
+    return kept.groupBy("_k", "_sha", "_id", "_points").agg(F.min_by("row", "_tie").alias("row")).select("row.*")

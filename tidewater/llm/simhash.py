@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, materialise, whole_text
+from .common import chunks, materialise, row_hash, whole_text
 from .components import smallest_reachable
 
 SHINGLE_WORDS = 3
@@ -230,8 +230,9 @@ def near_groups(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> Data
 def drop_near_copies(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
     """One row of each component, with the columns of ``docs``: the one with the
     smallest doc_id, null ids last; of rows that repeat it the one with the
-    smallest fingerprint, then the smallest hash of id and text."""
-    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.col("text"))
+    smallest fingerprint, then the smallest hash of id and text, then of the
+    whole row.  An empty table gives none."""
+    packed = docs.select(F.struct("*").alias("row"), row_hash(docs).alias("_tie"), F.col("doc_id"), F.col("text"))
     held = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), whole_text())
     packed = packed.withColumn("_mark", F.sha2(F.encode(held, "UTF-8"), 256))
     rows = materialise(fingerprints(packed, words_per_shingle, "_mark"), "simhash-rows")
@@ -239,5 +240,5 @@ def drop_near_copies(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) ->
     # Copies of a row collapse first, so a large component leaves few rows.
     first = (rows.distinct().join(_groups(rows), "fp").groupBy("root").agg(F.min(order).alias("first"))
              .select(F.col("first._mark").alias("_mark")))
-    return (packed.select("row", "_mark").join(first, "_mark", "left_semi")
-            .dropDuplicates(["_mark"]).select("row.*"))
+    return (packed.select("row", "_tie", "_mark").join(first, "_mark", "left_semi")
+            .groupBy("_mark").agg(F.min_by("row", "_tie").alias("row")).select("row.*"))
