@@ -19,6 +19,27 @@ def test_matches_grouping(spark):
     assert as_dict(exact_dedup.exact_groups(docs)) == exact_groups(enumerate(TEXTS))
 
 
+@pytest.mark.parametrize("share", [0, 4])
+def test_owners_compare_what_did_not_collapse(spark, monkeypatch, share):
+    """No key, or only those on a fourth of all rows, collapse beforehand."""
+    monkeypatch.setattr(exact_dedup, "HOT_SHARE", share)
+    docs = documents(spark, TEXTS + [f"text {i % 7}" for i in range(30)]).repartition(6)
+    want = exact_groups([tuple(r) for r in docs.select("doc_id", "text").collect()])
+    weak = lambda norm: F.pmod(F.xxhash64(norm), F.lit(2))
+    assert as_dict(exact_dedup.exact_groups(docs, capacity=1)) == want
+    assert as_dict(exact_dedup.exact_groups(docs, capacity=2, key=weak)) == want
+
+
+def test_documents_are_looked_up_through_the_directory(spark, monkeypatch):
+    docs = documents(spark, [f"text {i}" for i in range(60)])
+    index, directory, start = exact_dedup._indexed(docs, 8, F.xxhash64)
+    files = index.select("bucket", "depth", F.input_file_name().alias("file")).distinct().collect()
+    assert len(files) == len({(r.bucket, r.depth) for r in files}) == directory.count() > 4
+    split = exact_dedup.split_directory
+    monkeypatch.setattr(exact_dedup, "split_directory", lambda *a: (split(*a)[0].limit(0), split(*a)[1]))
+    assert exact_dedup.exact_groups(docs, 8).count() == 0
+
+
 def test_colliding_hashes_stand_in_one_chain(spark):
     """With four hash values for all texts, bytes alone tell texts apart."""
     docs = documents(spark, TEXTS + [f"text {i}" for i in range(60)])
