@@ -142,3 +142,14 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.root for r in smallest_reachable(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     want = union({x for e in edges for x in e} - {300}, edges[:-1])
     assert got == want
+
+
+@pytest.mark.parametrize("piece, slice_", [(1, 1), (7, 3), (50, 100), (1 << 19, 1 << 17)])
+def test_pieces_and_slices_change_nothing(monkeypatch, piece, slice_):
+    monkeypatch.setattr(S, "PIECE", piece)
+    monkeypatch.setattr(S, "SLICE", slice_)
+    rnd = random.Random(piece)
+    words = lambda n: "".join(rnd.choice(["x", "Yy", "é", "long" * 5]) + rnd.choice(["", " ", "\t", "\x0b"]) for _ in range(n))
+    texts = [None, "", " \n", "one", "Two words", "a b c", "a b c d"] + [words(rnd.randrange(300)) for _ in range(60)]
+    assert S.fingerprint_batch(texts).tolist() == [fingerprint(t) for t in texts]
+    assert S.fingerprint_batch(texts, 1).tolist() == [fingerprint(t, 1) for t in texts]

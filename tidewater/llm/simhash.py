@@ -17,6 +17,8 @@ links, so the output grows with the fingerprints and not with their pairs.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -31,29 +33,61 @@ MAX_BITS = 3
 SEGMENTS, SEGMENT_BITS = 4, 16   # MAX_BITS 3 over 4 segments: budgets 0, 1, 2, 3
 SEED = 42
 BLOCK = 1024                     # fingerprints of one key that one task compares at once
+SLICE = 1 << 17                  # shingles whose bits are counted at once, about
+PIECE = 1 << 19                  # bytes of a text that are split into words at once
+_BREAK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _words(text: str):
+    """Lists of consecutive words, each of about ``PIECE`` bytes of the text."""
+    data, at = text.encode("utf-8").lower(), 0  # bytes: A-Z and the six white space characters alone
+    while at < len(data):
+        cut = _BREAK.search(data, at + PIECE)
+        end = cut.start() if cut else len(data)
+        yield data[at:end].split()
+        at = end
+
+
+def _shingle_hashes(text: str, k: int):
+    """Lists of the hashes of a text's shingles, piece by piece."""
+    digest, tail, full = xxhash.xxh64_intdigest, [], False
+    for words in _words(text):
+        words = tail + words
+        if len(words) >= k:
+            sizes = np.fromiter(map(len, words), np.int64, len(words))
+            ends = np.cumsum(sizes + 1) - 1
+            joined, starts = b" ".join(words), (ends - sizes).tolist()
+            yield [digest(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1:].tolist())]
+            full = True
+        tail = words[len(words) - k + 1:] if len(words) >= k else words
+    if tail and not full:
+        yield [digest(b" ".join(tail), SEED)]
 
 
 def fingerprint_batch(texts: list[str | None], words_per_shingle: int = SHINGLE_WORDS) -> np.ndarray:
-    """Unsigned fingerprints of texts; a text without words has zero."""
-    digest, hashes, sizes = xxhash.xxh64_intdigest, [], np.zeros(len(texts), np.int64)
+    """Unsigned fingerprints of texts; a text without words has zero.  Bits are
+    counted over slices of shingles, so a long text needs little memory."""
+    set_, sizes = np.zeros((len(texts), 64), np.int64), np.zeros(len(texts), np.int64)
+    hashes, owner, count = [], [], []
+
+    def add_up():
+        if hashes:
+            bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            np.add.at(set_, owner, np.add.reduceat(bits, np.r_[0, np.cumsum(count)[:-1]], axis=0, dtype=np.int64))
+            np.add.at(sizes, owner, count)
+        for rows in (hashes, owner, count):
+            rows.clear()
+
     for i, text in enumerate(texts):
-        words = (text or "").encode("utf-8").lower().split()  # bytes: A-Z and the six white space characters alone
-        if not words:
-            continue
-        joined = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts, k = (ends - np.fromiter(map(len, words), np.int64, len(words)) - 1).tolist(), min(words_per_shingle, len(words))
-        stops = (ends - 1).tolist()
-        hashes += [digest(joined[a:b], SEED) for a, b in zip(starts, stops[k - 1:])]
-        sizes[i] = len(words) - k + 1
-    out = np.zeros(len(texts), np.uint64)
-    some = np.flatnonzero(sizes)
-    if len(some):
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        set_ = np.add.reduceat(bits, np.r_[0, np.cumsum(sizes[some])[:-1]], axis=0, dtype=np.int32)
-        more = (2 * set_ > sizes[some][:, None]).astype(np.uint8)
-        out[some] = np.packbits(more, axis=1, bitorder="little").view("<u8").ravel()
-    return out
+        for some in _shingle_hashes(text or "", words_per_shingle):
+            hashes += some
+            owner.append(i)
+            count.append(len(some))
+            if len(hashes) >= SLICE:
+                add_up()
+    add_up()
+    more = (2 * set_ > sizes[:, None]).astype(np.uint8)
+    return np.packbits(more, axis=1, bitorder="little").view("<u8").ravel()
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, *keep: str) -> DataFrame:
