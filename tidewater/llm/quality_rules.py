@@ -173,8 +173,14 @@ def quality_report(docs: DataFrame, labels: DataFrame, threshold: float | None =
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
+    """The rows of ``docs`` that the rules keep, with the columns of ``docs``.
+    Every row is rated by itself, repeated ones and those without id included;
+    null and empty texts go (no words), and an empty table gives none.  Rows
+    are rated once and written with their rating."""
+    sha = F.sha2(F.encode(whole_text(), "UTF-8"), 256)
+    rows = docs.select(F.struct("*").alias("row"), "text", sha.alias("sha"))
     ratios = log_ratios(docs, trusted_sample(labels))
-    threshold = labelled_threshold(_rated(docs, ratios), labels) if threshold is None else threshold
-    rows = docs.select(F.struct("*").alias("row"), "text")
-    return rate(rows, ratios, "row", threshold=threshold).where("kept").select("row.*")
+    rated = materialise(rate(rows, ratios, "row", "sha").select("row", "sha", "base_failed", "llr"), "quality-rated")
+    if threshold is None:
+        threshold = labelled_threshold(rated.select("row.doc_id", "sha", "base_failed", "llr"), labels)
+    return rated.where(~F.col("base_failed") & (F.col("llr") >= threshold)).select("row.*")
