@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import numpy as np
 
+LONG = 4096  # positions of a sequence that are stepped through one by one
+
 
 class Layout:
     """Places of flat positions when sequences run side by side."""
@@ -53,6 +55,59 @@ def viterbi(scores: np.ndarray, trans: np.ndarray, sizes: np.ndarray) -> np.ndar
     return tags
 
 
+def _chain_marginals(scores: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """Tag marginals of one long sequence.  Blocks of positions advance side by
+    side: their transfer matrices first, then the vectors between blocks, then
+    the vectors inside all blocks at once."""
+    n, k = scores.shape
+    width = max(1, int(n ** 0.5))
+    blocks = (n - 1) // width
+    inner = scores[1:1 + blocks * width].reshape(blocks, width, k)
+    carry = trans + inner[:, 0, None, :]
+    for t in range(1, width):
+        carry = _log_sum(carry[:, :, :, None] + (trans + inner[:, t, None, :])[:, None], 2)
+    alpha, beta = np.empty((n, k)), np.zeros((n, k))
+    alpha[0] = scores[0]
+    ahead, enter, leave = alpha[0], np.empty((blocks, k)), np.zeros((blocks, k))
+    for b in range(blocks):
+        enter[b] = ahead
+        ahead = _log_sum(ahead[:, None] + carry[b], 0)
+    end = 1 + blocks * width
+    here = enter
+    for t in range(width):
+        here = inner[:, t] + _log_sum(here[:, :, None] + trans, 1)
+        alpha[1 + t:end:width] = here
+    for t in range(end, n):
+        alpha[t] = scores[t] + _log_sum(alpha[t - 1][:, None] + trans, 0)
+    for t in range(n - 1, end - 1, -1):
+        beta[t - 1] = _log_sum(trans + scores[t] + beta[t], 1)
+    behind = beta[end - 1]
+    for b in range(blocks - 1, -1, -1):
+        leave[b] = behind
+        behind = _log_sum(carry[b] + behind, 1)
+    here = leave
+    for t in range(width - 1, -1, -1):
+        beta[1 + t:end:width] = here
+        here = _log_sum(trans + (inner[:, t] + here)[:, None, :], 2)
+    beta[0] = behind
+    total = alpha + beta
+    return np.exp(total - _log_sum(total, 1)[:, None])
+
+
+def marginals(scores: np.ndarray, trans: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Tag marginals of every position; sequences over ``LONG`` positions by
+    themselves, the others side by side."""
+    sizes = np.asarray(sizes, np.int64)
+    out = np.empty(scores.shape)
+    starts = np.cumsum(sizes) - sizes
+    short = np.repeat(sizes <= LONG, sizes)
+    out[short] = forward_backward(scores[short], trans, sizes[sizes <= LONG])
+    for i in np.flatnonzero(sizes > LONG):
+        part = slice(starts[i], starts[i] + sizes[i])
+        out[part] = _chain_marginals(scores[part], trans)
+    return out
+
+
 def forward_backward(scores: np.ndarray, trans: np.ndarray, sizes: np.ndarray, pairs: bool = False):
     """Tag marginals of every position; with ``pairs`` also the expected
     transition counts and the summed log normaliser."""

@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 
 from .common import chunks, held_out
 from .crf import fit as fit_chain
-from .crf import forward_backward
+from .crf import marginals
 
 FIT_ROWS = 2_000       # labelled documents the model is fitted on, at most
 FIT_CHARS = 20_000_000  # their characters, at most
+SLICE_LINES = 50_000   # lines whose features are held at once
 
 # Character classes: 0 lower case, 1 upper case, 2 digit, 3 space, 4 symbol,
 # 5 sentence mark, 6 exclamation or question mark, 7 bar, 8 other.
@@ -42,53 +43,75 @@ def _class_table() -> np.ndarray:
 _TABLE: list[np.ndarray] = []
 
 
+class Lines:
+    """The lines of texts (an empty text has one empty line); features are made
+    for any range of them."""
+
+    def __init__(self, texts: list[str]):
+        lines = [t.split("\n") for t in texts]
+        self.sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+        self.flat = [line for ls in lines for line in ls]
+        self.length = np.fromiter(map(len, self.flat), np.int64, len(self.flat))
+        self.repeat = np.zeros(len(self.flat))
+        at = 0
+        for ls in lines:
+            seen = set()
+            for line in ls:
+                self.repeat[at] = line in seen
+                seen.add(line)
+                at += 1
+        self.first = np.zeros(len(self.flat), bool)
+        self.first[np.cumsum(self.sizes) - self.sizes] = True
+        self.last = np.r_[self.first[1:], True]
+
+    def _own(self, a: int, b: int) -> np.ndarray:
+        """Features of lines a to b from the lines themselves."""
+        if not _TABLE:
+            _TABLE.append(_class_table())
+        flat, length = self.flat[a:b], self.length[a:b]
+        points = np.frombuffer("".join(flat).encode("utf-32-le", "surrogatepass"), np.uint32)
+        owner = np.repeat(np.arange(len(flat)), length)
+        kind = _TABLE[0][points]
+        count = np.bincount(owner * _CLASSES + kind, minlength=len(flat) * _CLASSES).reshape(-1, _CLASSES).astype(np.float64)
+        word_start = (kind != 3) & np.r_[True, (kind[:-1] == 3) | (owner[:-1] != owner[1:])] if len(kind) else np.zeros(0, bool)
+        words = np.bincount(owner[word_start], minlength=len(flat)).astype(np.float64)
+        part = count / np.maximum(length, 1)[:, None]
+        letters = np.maximum(count[:, 0] + count[:, 1], 1)
+        split = map(str.split, flat)
+        same = np.fromiter((1 - len(set(w)) / len(w) if w else 0 for w in split), np.float64, len(flat))
+        return np.column_stack([
+            part, count[:, 1] / letters, np.minimum(1, 4 * count[:, 4] / np.maximum(words, 1)), np.minimum(1, 2 * count[:, 6] / np.maximum(words, 1)),
+            np.minimum(1, 2 * count[:, 7] / np.maximum(words, 1)), np.log1p(words) / 5, np.log1p(length) / 7,
+            np.minimum(2, length / np.maximum(words, 1) / 10), self.repeat[a:b], same, length == 0])
+
+    def features(self, a: int, b: int) -> np.ndarray:
+        """Features of lines a to b, their neighbours' included."""
+        lo, hi = max(a - 1, 0), min(b + 1, len(self.flat))
+        near = np.pad(self._own(lo, hi), ((1 - (a - lo), 1 - (hi - b)), (0, 0)))
+        own = near[1:-1]
+        first, last = self.first[a:b], self.last[a:b]
+        before = np.where(first[:, None], 0, near[:-2])
+        after = np.where(last[:, None], 0, near[2:])
+        return np.column_stack([np.ones(b - a), own, before, after, first, last])
+
+
 def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features of every line of every text, the lines' lengths, and the number
-    of lines of each text (an empty text has one empty line)."""
-    if not _TABLE:
-        _TABLE.append(_class_table())
-    lines = [t.split("\n") for t in texts]
-    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
-    flat = [line for ls in lines for line in ls]
-    length = np.fromiter(map(len, flat), np.int64, len(flat))
-    points = np.frombuffer("".join(flat).encode("utf-32-le", "surrogatepass"), np.uint32)
-    owner = np.repeat(np.arange(len(flat)), length)
-    kind = _TABLE[0][points]
-    count = np.bincount(owner * _CLASSES + kind, minlength=len(flat) * _CLASSES).reshape(-1, _CLASSES).astype(np.float64)
-    word_start = (kind != 3) & np.r_[True, (kind[:-1] == 3) | (owner[:-1] != owner[1:])] if len(kind) else np.zeros(0, bool)
-    words = np.bincount(owner[word_start], minlength=len(flat)).astype(np.float64)
-    part = count / np.maximum(length, 1)[:, None]
-    letters = np.maximum(count[:, 0] + count[:, 1], 1)
-    repeat, same = np.zeros(len(flat)), np.zeros(len(flat))
-    at = 0
-    for ls in lines:
-        seen = set()
-        for line in ls:
-            repeat[at] = line in seen
-            split = line.split()
-            same[at] = 1 - len(set(split)) / len(split) if split else 0
-            seen.add(line)
-            at += 1
-    own = np.column_stack([
-        part, count[:, 1] / letters, np.minimum(1, 4 * count[:, 4] / np.maximum(words, 1)), np.minimum(1, 2 * count[:, 6] / np.maximum(words, 1)),
-        np.minimum(1, 2 * count[:, 7] / np.maximum(words, 1)), np.log1p(words) / 5, np.log1p(length) / 7,
-        np.minimum(2, length / np.maximum(words, 1) / 10), repeat, same, length == 0])
-    first = np.zeros(len(flat), bool)
-    first[np.cumsum(sizes) - sizes] = True
-    last = np.r_[first[1:], True]
-    before = np.where(first[:, None], 0, np.roll(own, 1, axis=0))
-    after = np.where(last[:, None], 0, np.roll(own, -1, axis=0))
-    return np.column_stack([np.ones(len(flat)), own, before, after, first, last]), length, sizes
+    of lines of each text."""
+    lines = Lines(texts)
+    return lines.features(0, len(lines.flat)), lines.length, lines.sizes
 
 
 def _good_share(texts: list[str], weights: np.ndarray, trans: np.ndarray) -> np.ndarray:
     """Length-weighted marginal of good over the lines of each text."""
     if not texts:
         return np.zeros(0)
-    features, length, sizes = line_features(texts)
-    good = forward_backward(features @ weights, trans, sizes)[:, 1]
-    weight = length + 1.0
-    starts = np.cumsum(sizes) - sizes
+    lines = Lines(texts)
+    ranges = range(0, len(lines.flat), SLICE_LINES)
+    scores = np.concatenate([lines.features(a, min(a + SLICE_LINES, len(lines.flat))) @ weights for a in ranges])
+    good = marginals(scores, trans, lines.sizes)[:, 1]
+    weight = lines.length + 1.0
+    starts = np.cumsum(lines.sizes) - lines.sizes
     return np.add.reduceat(good * weight, starts) / np.add.reduceat(weight, starts)
 
 
@@ -115,9 +138,11 @@ def fit(texts: list[str], quality: list[int]) -> tuple[np.ndarray, np.ndarray, t
 
 def fit_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> list:
     """(text, quality) of at most ``rows`` labelled documents that are not held
-    out: those with the smallest id hashes."""
+    out: those with the smallest id hashes.  Ids labelled both good and bad
+    are left out."""
     chosen = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", 3, 1))
-              .select("doc_id", "quality").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+              .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
+              .where("quality = most").drop("most").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     out, chars = [], 0
     for r in picked.select("doc_id", "text", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).toLocalIterator():
