@@ -131,3 +131,25 @@ def test_whole_feed_in_any_batching(spark, sf_dir, batches):
     store.start_hours(st.read_envelopes(spark, landing, max_files_per_trigger=4 - batches), scratch_path(spark, "f_ckpt")).awaitTermination()
     store.start_days(scratch_path(spark, "f_ckpt")).awaitTermination()
     _check(spark, store, landing)
+
+
+def test_windows_of_a_day_share_state_rows(spark):
+    """Rows of 300 locations, told apart by every column of the order, in two
+    batches; state rows follow the days and buckets, not the windows."""
+    rnd = random.Random(3)
+    pick = lambda *xs: rnd.choice([None, *xs])
+    rows = [(pick("a", "ab"), pick("x", "xy"), rnd.choice([None, float(i)]), 2.0, pick("2024-01-01", "1969-12-31"), DAY + 90000 * (i % 2), pick("0", "-1.5", "-20", "100", "20"),
+             pick(0, -1, 70), pick("sun", "sunny"), pick("u", "uv"), pick("2024-01-03 00:00:00", "2024-01-02 00:00:00.5")) for i in range(300) for _ in range(6)]
+    df = spark.createDataFrame(rows, "city string, country string, lat double, lon double, day string, time_epoch long, temp string, humidity long, condition_text string, source_url string, at string")
+    df = df.select("city", "country", "lat", "lon", F.to_date("day").alias("day_date"), "time_epoch", F.timestamp_seconds("time_epoch").alias("observed_at"),
+                   F.col("temp").cast("decimal(38,9)").alias("temp_c"), "humidity", "condition_text", "source_url", F.to_timestamp("at").alias("fetched_at"), F.lit("k").alias("weather_hour_id"))
+    store, ckpt = st.NewestHours(spark, scratch_path(spark, "b_store")), scratch_path(spark, "b_ckpt")
+    half = F.pmod(F.hash(*df.columns), F.lit(2))
+    for i in range(2):
+        store.append_hours(df.where(half == i))
+        days = store.start_days(ckpt)
+        days.awaitTermination()
+        seen = weather.dedup_hours(df.where(half <= i))
+        assert _rows(store.daily()) == _rows(weather.fct_weather_daily(seen))
+    state = max(p["stateOperators"][0]["numRowsTotal"] for p in days.recentProgress)
+    assert 2 <= state <= 2 * 8 and seen.count() > 250

@@ -9,7 +9,8 @@ appended to a log below ``hours``.
 *Days* (``start_days``): the hours log is itself a stream.  Its rows fall into
 event-time windows of one day; a window's state holds the newest row of each
 of its hours, and a touched window's mart rows are appended to a log below
-``days``.
+``days``.  Windows of one day are kept in state by buckets of locations, so
+the update function is called once per bucket and not once per window.
 
 Both logs only ever gain rows, and what a reader makes of them (the greatest
 row per hour, the last emission per window) does not depend on the order in
@@ -30,59 +31,39 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from ..plans.weather import HOURLY_COLUMNS, HOURLY_ORDER, dedup_hours, fct_weather_daily, flatten_weather
 from ..sinks.tables import _exists, write_partitioned
 
-_LOWEST = -(1 << 63)
-_TYPES = {"fetched_at": "timestamp", "temp_c": "decimal", "humidity": "bigint", "day_date": "date"}
+# Columns of the order that are ranked from high to low, as values that rise
+# then, and back.
+_REVERSED = {"fetched_at": (lambda c: F.bitwise_not(F.unix_micros(c)), lambda c: F.timestamp_micros(F.bitwise_not(c))),
+             "temp_c": (F.negative, F.negative), "humidity": (F.bitwise_not, F.bitwise_not)}
 
 
-def _hex(number: Column) -> Column:
-    """A 64-bit integer as 16 digits that sort like it."""
-    return F.lpad(F.hex(number.bitwiseXOR(F.lit(_LOWEST))), 16, "0")
-
-
-def _swap(text: Column, digits: str) -> Column:
-    return F.translate(text, digits, digits[::-1])
-
-
-def sortable(name: str, kind: str, descending: bool) -> Column:
-    """Text that sorts (ascending, bytewise) as ``order by name`` ranks from
-    last to first: what comes first in the order is the greatest.  NULL is
-    the smallest, for it ranks last in both directions."""
-    c = F.col(name)
-    if kind == "timestamp":
-        out = _hex(F.unix_micros(c))
-    elif kind == "date":
-        out = _hex(F.unix_date(c).cast("bigint"))
-    elif kind == "bigint":
-        out = _hex(c)
-    elif kind == "decimal":
-        digits = F.lpad(F.abs(c).cast("decimal(38,9)").cast("string"), 40, "0")
-        out = F.when(c >= 0, F.concat(F.lit("1"), digits)).otherwise(F.concat(F.lit("0"), _swap(digits, "0123456789")))
-    else:
-        out = F.hex(F.encode(c, "UTF-8"))
-    if not descending:
-        out = _swap(out, "0123456789" if kind == "decimal" else "0123456789ABCDEF")
-        # Of two texts one of which starts with the other the longer comes later.
-        out = F.concat(out, F.lit("G")) if kind == "string" else out
-    return F.coalesce(F.concat(F.lit("+"), out), F.lit("!"))
+def _ranks(order=HOURLY_ORDER) -> list[tuple[str, bool]]:
+    """(column, descending) of an order."""
+    return [(name, direction == ["desc"]) for name, *direction in (spec.split() for spec in order)]
 
 
 def order_text(order=HOURLY_ORDER) -> Column:
-    """The place of an hourly row in the total order of the batch model; the
-    greatest is the row that stays."""
-    parts = []
-    for spec in order:
-        name, *direction = spec.split()
-        parts.append(sortable(name, _TYPES.get(name, "string"), direction == ["desc"]))
-    return F.concat_ws(" ", *parts)
+    """The place of an hourly row in the total order of the batch model, a
+    struct; the row with the smallest stays.  NULL ranks last in both
+    directions."""
+    fields = []
+    for name, descending in _ranks(order):
+        c = F.col(name)
+        fields += [c.isNull().alias(f"no_{name}"), (_REVERSED[name][0](c) if descending else c).alias(name)]
+    return F.struct(*fields)
 
 
 def newest_hours(flat: DataFrame) -> DataFrame:
     """The newest row per (lat, lon, time_epoch), as a keyed aggregate that
-    runs on a stream (state: one row per key) as well as on a table."""
-    keyed = flat.select(order_text().alias("place"), F.struct(*HOURLY_COLUMNS).alias("row"))
-    best = keyed.groupBy(F.col("row.lat").cast("string").alias("lat_key"), F.col("row.lon").cast("string").alias("lon_key"),
-                         F.col("row.time_epoch").alias("hour_key")).agg(F.max_by("row", "place").alias("row"))
-    return best.select("row.*")
+    runs on a stream as well as on a table.  State: one row per key, which is
+    its own place in the order, followed by the other columns."""
+    reversed_ = {name for name, descending in _ranks() if descending}
+    ranked = {name for name, _ in _ranks()}
+    whole = flat.select(order_text().alias("place"), F.struct(*(c for c in HOURLY_COLUMNS if c not in ranked)).alias("rest"))
+    best = whole.groupBy(F.col("rest.lat").cast("string").alias("lat_key"), F.col("rest.lon").cast("string").alias("lon_key"),
+                         F.col("rest.time_epoch").alias("hour_key")).agg(F.min(F.struct("place", "rest")).alias("row"))
+    value = lambda c: F.col(f"row.place.{c}" if c in ranked else f"row.rest.{c}")
+    return best.select(*((_REVERSED[c][1](value(c)) if c in reversed_ else value(c)).cast(flat.schema[c].dataType).alias(c) for c in HOURLY_COLUMNS))
 
 
 def _append_once(rows: DataFrame, path: str, cluster: tuple) -> None:
@@ -100,6 +81,12 @@ def _append_once(rows: DataFrame, path: str, cluster: tuple) -> None:
 PROGRESS = ("hours", "fetched", "emitted_at")
 
 
+# Windows of one day that share a state row, about, when a days stream first
+# starts; the fewest buckets a day's locations are dealt over.
+BUCKET_WINDOWS = 256
+LEAST_BUCKETS = 8
+
+
 class NewestHours:
     """The hours and days streams of one weather feed, stored below ``root``."""
 
@@ -130,40 +117,64 @@ class NewestHours:
         w = newest.writeStream.outputMode("update").foreachBatch(self.append_hours).option("checkpointLocation", checkpoint)
         return (w.trigger(availableNow=True) if available_now else w).start()
 
-    def windows(self, hours: DataFrame, lateness: str | None = None) -> DataFrame:
-        """All newest hours of every one-day window that ``hours`` touches."""
+    def windows(self, hours: DataFrame, lateness: str | None = None, buckets: int = LEAST_BUCKETS) -> DataFrame:
+        """All newest hours of every one-day window that ``hours`` touches.
+        The windows of one day whose locations share one of the ``buckets``
+        share a state row and a call of the update function."""
         if lateness:
             hours = hours.withWatermark("observed_at", lateness)
+        # What an hour's rows are told apart by comes first, in its order.
+        ranks = _ranks()
+        kinds = {"fetched_at": F.unix_micros("fetched_at"), "temp_c": F.col("temp_c").cast("string"), "day_date": F.unix_date("day_date")}
+        fields = [*(name for name, _ in ranks), "lat", "lon"]
         rows = hours.where(F.col("observed_at").isNotNull()).select(
             F.col("lat").cast("string").alias("lat_key"), F.col("lon").cast("string").alias("lon_key"),
-            F.window("observed_at", "1 day").alias("w"), "observed_at", "time_epoch", order_text().alias("place"), "city", "country", "lat", "lon",
-            F.col("temp_c").cast("string").alias("temp_c"), F.unix_micros("fetched_at").alias("fetched"))
-        rows = rows.withColumn("day", F.unix_date(F.to_date("w.start"))).drop("w")
-        evict = bool(lateness)
+            F.window("observed_at", "1 day").alias("w"), "observed_at", "time_epoch", *(kinds.get(c, F.col(c)).alias(c) for c in fields))
+        rows = rows.withColumns({"day": F.unix_date(F.to_date("w.start")),
+                                 "bucket": F.pmod(F.xxhash64("lat_key", "lon_key"), F.lit(buckets))}).drop("w")
+        evict, descending, temp = bool(lateness), [d for _, d in ranks], fields.index("temp_c")
+
+        def newer(row, other):
+            """Whether ``row`` comes before ``other`` in the order."""
+            for a, b, down in zip(row, other, descending):
+                if a != b:
+                    return a is not None and (b is None or (a > b) == down)
+            return False
 
         def newest(key, frames, state):
             import pickle
+            from decimal import Decimal
 
             import pandas as pd
-            columns = ["time_epoch", "city", "country", "lat", "lon", "temp_c", "fetched", "hours", "total"]
             if state.hasTimedOut:
                 state.remove()
                 return
-            hours = pickle.loads(state.get[0]) if state.exists else {}
+            windows = pickle.loads(state.get[0]) if state.exists else {}
+            touched = {}
             for frame in frames:
                 # plain lists: a window's rows are few, and windows are many
-                for epoch, place, *row in zip(*(frame[c].tolist() for c in ("time_epoch", "place", *columns[1:7])), strict=True):
-                    if epoch not in hours or place > hours[epoch][0]:
-                        hours[epoch] = (place, *(None if v is None or v != v else v for v in row))
-            state.update((pickle.dumps(hours),))
+                lists = [frame[c].astype(object).where(frame[c].notna(), None).tolist() for c in ("lat_key", "lon_key", "time_epoch", *fields)]
+                lists[3 + temp] = [None if t is None else Decimal(t) for t in lists[3 + temp]]
+                for lat, lon, epoch, *row in zip(*lists, strict=True):
+                    hours = touched[lat, lon] = windows.setdefault((lat, lon), {})
+                    if epoch not in hours or newer(row, hours[epoch]):
+                        hours[epoch] = row
+            state.update((pickle.dumps(windows),))
             if evict:
-                state.setTimeoutTimestamp(max((int(key[2]) + 1) * 86_400_000, state.getCurrentWatermarkMs() + 1))
-            total = str(sum(int(row[-1] or 0) for row in hours.values()))
-            yield pd.DataFrame([(epoch, *row[1:], len(hours), total) for epoch, row in hours.items()], columns=columns)
-
-        found = rows.groupBy("lat_key", "lon_key", "day").applyInPandasWithState(
+                state.setTimeoutTimestamp(max((int(key[0]) + 1) * 86_400_000, state.getCurrentWatermarkMs() + 1))
+            out = []
+            for hours in touched.values():
+                total = str(sum(int(row[0] or 0) for row in hours.values()))
+                out += [(epoch, *row, len(hours), total) for epoch, row in hours.items()]
+            names = ["time_epoch", *fields, "hours", "total"]
+            columns = dict(zip(names, zip(*out)))
+            yield pd.DataFrame({"time_epoch": columns["time_epoch"], **{c: columns[c] for c in ("city", "country", "lat", "lon")},
+                                "temp_c": [None if t is None else format(t, "f") for t in columns["temp_c"]], "fetched": columns["fetched_at"],
+                                "hours": columns["hours"], "total": columns["total"]})
+
+        found = rows.groupBy("day", "bucket").applyInPandasWithState(
             newest, "time_epoch bigint, city string, country string, lat double, lon double, temp_c string, fetched bigint, hours bigint, total string",
-            "hours binary", "update", GroupStateTimeout.EventTimeTimeout if lateness else GroupStateTimeout.NoTimeout)
+            "windows binary", "update", GroupStateTimeout.EventTimeTimeout if lateness else GroupStateTimeout.NoTimeout)
         at = F.timestamp_seconds("time_epoch")
         return found.select("city", "country", "lat", "lon", at.alias("observed_at"), F.col("temp_c").cast("decimal(38,9)").alias("temp_c"),
                             "hours", F.col("total").cast("decimal(38,0)").alias("fetched"))
@@ -172,6 +183,18 @@ class NewestHours:
         out = fct_weather_daily(batch.withColumn("emitted_at", F.current_timestamp()), PROGRESS)
         _append_once(out, self.days_log, ("city",))
 
+    def _buckets(self, checkpoint: str) -> int:
+        """The buckets of the days stream at ``checkpoint``: chosen at its first
+        start by the locations the hours log has on its fullest day, and kept
+        beside the state, which is keyed by them."""
+        path = f"{checkpoint}/buckets"
+        if not _exists(self.spark, f"{path}/_SUCCESS"):
+            log = self._log(self.hours_log, self._hours).where(F.col("day_utc").isNotNull())
+            locations = log.groupBy("day_utc").agg(F.approx_count_distinct(F.struct("lat", "lon")).alias("n")).agg(F.max("n").alias("n"))
+            chosen = locations.select(F.greatest(F.ceil(F.col("n") / BUCKET_WINDOWS), F.lit(LEAST_BUCKETS)).cast("int").alias("buckets"))
+            chosen.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema("buckets int").parquet(path).first()[0]
+
     def start_days(self, checkpoint: str, lateness: str | None = None, available_now: bool = True):
         """STR-4 on the hours log.  Without ``lateness`` windows stay open for
         ever and no late hour is lost.  With it (e.g. '30 days') the state of
@@ -179,7 +202,7 @@ class NewestHours:
         the hours log only, and ``rebuild_days`` brings them in."""
         self.spark.createDataFrame([], self._hours.schema).write.mode("append").partitionBy("day_utc").parquet(self.hours_log)
         hours = self.spark.readStream.schema(self._hours.schema).parquet(self.hours_log)
-        w = (self.windows(hours, lateness).writeStream.outputMode("update").foreachBatch(self.append_days)
+        w = (self.windows(hours, lateness, self._buckets(checkpoint)).writeStream.outputMode("update").foreachBatch(self.append_days)
              .option("checkpointLocation", checkpoint))
         return (w.trigger(availableNow=True) if available_now else w).start()
 
