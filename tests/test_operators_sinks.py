@@ -143,3 +143,11 @@ def test_catalog_view_is_seen_by_a_second_session(spark, sf_dir):
     assert got == sorted(map(repr, weather.fct_weather_daily(spark.table(name)).collect()))
     # new rows of the table show without a change to the view
     assert other.table(f"daily_{name}").agg(F.sum("hours_count")).first()[0] == hourly.count()
+
+
+def test_the_view_query_leaves_no_view(spark, sf_dir):
+    from tidewater import catalog
+    daily = catalog.queries()["view_materialised"](spark, sf_dir)
+    assert not [t.name for t in spark.catalog.listTables() if t.isTemporary and t.name.startswith("stg_weather_hourly_")]
+    events = fx.read_table(spark, sf_dir, "events")
+    assert daily.count() == events.select("user_id", F.to_date("ts")).distinct().count()

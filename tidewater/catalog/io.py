@@ -213,11 +213,14 @@ def skip_empty_write(spark, sf_dir):
 
 @register("view_materialised", DAILY_SQL)
 def view_materialised(spark, sf_dir):
-    """SNK-6: the hourly staging as a view, the mart read through it."""
+    """SNK-6: the hourly staging as a view, the mart read through it.  The
+    view leaves the session once the mart's plan has taken it up."""
     raw = fx.weather_envelopes(_t(spark, sf_dir, "events"))
     name = "stg_weather_hourly_" + scratch_path(spark, "view").rsplit("-", 1)[-1]   # unique per run
     snk.as_view(weather.stg_weather_hourly(raw), name)
-    return weather.fct_weather_daily(spark.table(name))
+    daily = weather.fct_weather_daily(spark.table(name))
+    spark.catalog.dropTempView(name)
+    return daily
 
 
 @register("view_catalog", DAILY_SQL)
