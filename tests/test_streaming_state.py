@@ -153,3 +153,60 @@ def test_windows_of_a_day_share_state_rows(spark):
         assert _rows(store.daily()) == _rows(weather.fct_weather_daily(seen))
     state = max(p["stateOperators"][0]["numRowsTotal"] for p in days.recentProgress)
     assert 2 <= state <= 2 * 8 and seen.count() > 250
+
+
+def _random_document(rnd):
+    pick = lambda *xs: rnd.choice([None, *xs])
+    hours = [{"time_epoch": pick(DAY, DAY + 3600, DAY + 90000, -1), "temp_c": pick(0, "n/a", "-1.5", -20, "20", 3e-9, "12345678901234567890.123456789"),
+              "humidity": pick(0, -1, 2 ** 60, 2 ** 60 + 1), "condition": {"text": pick("", "sun", "é", "\U0001F600")}} for _ in range(6)]
+    return json.dumps({"location": {"name": pick("a", "ab"), "country": pick("x", "xy"), "lat": pick(-0.0, 0.0, 1.5), "lon": pick(2.0, 1e-5)},
+                       "forecast": {"forecastday": [{"date": pick("2024-01-01", "1969-12-31"), "hour": hours}]}})
+
+
+def test_hours_of_a_day_share_state_rows(spark):
+    """Rows told apart by every column of the order, NULLs among them, in three
+    batches: state rows follow the days and buckets, not the hours."""
+    rnd = random.Random(5)
+    landing, store, ckpt = scratch_path(spark, "k_land"), st.NewestHours(spark, scratch_path(spark, "k_store")), scratch_path(spark, "k_ckpt")
+    url = lambda: rnd.choice(["u/history.json?a", "u/history.json?ab"])
+    at = lambda: rnd.choice([None, "2024-01-03 00:00:00", "1950-01-01 00:00:00.5"])
+    for _ in range(3):
+        _land(spark, landing, [(_random_document(rnd), url(), at()) for _ in range(150)])
+        hours = store.start_hours(st.read_envelopes(spark, landing, max_files_per_trigger=1), ckpt, buckets=3)
+        hours.awaitTermination()
+        batch = weather.stg_weather_hourly(spark.read.schema(ENVELOPE).parquet(landing))
+        assert _rows(store.hourly()) == _rows(batch)
+    # three days, and the hours without a time
+    assert hours.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 4 * 3 < batch.count()
+
+
+def test_copies_that_are_not_newer_are_not_logged(spark):
+    landing, store, ckpt = scratch_path(spark, "n_land"), st.NewestHours(spark, scratch_path(spark, "n_store")), scratch_path(spark, "n_ckpt")
+    newest = (_document([(DAY + i, 5) for i in range(100)]), "u/history.json?a", "2024-01-03 00:00:00")
+    stale = (_document([(DAY + i, 9) for i in range(101)]), "u/history.json?a", "2024-01-02 00:00:00")
+    for rows in ([newest], [stale], [newest]):
+        _land(spark, landing, rows)
+        store.start_hours(st.read_envelopes(spark, landing, max_files_per_trigger=1), ckpt).awaitTermination()
+    assert spark.read.parquet(store.hours_log).count() == 101
+    assert _rows(store.hourly()) == _rows(weather.stg_weather_hourly(spark.read.schema(ENVELOPE).parquet(landing)))
+
+
+def test_an_hour_of_many_rows_and_a_bucket_of_many_hours(spark):
+    """More rows of one hour, and more hours of one bucket, than a frame holds."""
+    landing, store = scratch_path(spark, "m_land"), st.NewestHours(spark, scratch_path(spark, "m_store"))
+    hours = [(DAY + i, i) for i in range(12_000)] + [(DAY, -i) for i in range(12_000)]
+    _land(spark, landing, [(_document(hours), "u/history.json?a", "2024-01-03 00:00:00")])
+    store.start_hours(st.read_envelopes(spark, landing), scratch_path(spark, "m_ckpt"), buckets=1).awaitTermination()
+    got = store.hourly()
+    assert got.count() == 12_000 and got.agg(F.sum("temp_c")).first()[0] == sum(range(12_000))
+
+
+def test_the_flatten_parses_a_document_once(spark, sf_dir):
+    raw = fx.weather_envelopes(fx.read_table(spark, sf_dir, "events"))
+    stored = scratch_path(spark, "p_raw")
+    raw.write.parquet(stored)
+    plan = weather.flatten_weather(spark.read.parquet(stored))._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("from_json" in line for line in plan.splitlines() if "Filter" in line)
+    odd = [(None,), ('{"forecast": null}',), ('{"forecast": {"forecastday": []}}',), ('{"forecast": {"forecastday": [null]}}',), ("{",)]
+    rows = spark.createDataFrame(odd, "raw_json string").selectExpr("raw_json", "'u/history.json' source_url", "timestamp'2024-01-03' fetched_at")
+    assert weather.flatten_weather(rows).count() == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (NUMERIC, date_of, epoch_to_timestamp, json_query_array, json_value,
@@ -43,7 +43,9 @@ def flatten_weather(raw: DataFrame) -> DataFrame:
         F.col("j.forecast.forecastday").alias("days"),
         "source_url", "fetched_at")
     parents = ["city", "country", "lat", "lon", "source_url", "fetched_at"]
-    days = docs.select(*parents, F.explode("days").alias("day"))
+    # not a bare column: Spark would derive a filter from it, which parses
+    # every document again
+    days = docs.select(*parents, F.explode(F.coalesce("days", F.array().cast("array<variant>"))).alias("day"))
     hours = days.select(*parents, date_of(json_value("day", "$.date")).alias("day_date"),
                         F.explode(json_query_array("day", "$.hour")).alias("hour"))
     epoch = strict_cast(json_value("hour", "$.time_epoch"), "bigint")
@@ -55,8 +57,12 @@ def flatten_weather(raw: DataFrame) -> DataFrame:
         safe_cast(json_value("hour", "$.humidity"), "bigint").alias("humidity"),
         json_value("hour", "$.condition.text").alias("condition_text"),
         "source_url", "fetched_at")
-    return flat.withColumn("weather_hour_id",
-                           md5_hex(location_key("lat", "lon", "time_epoch")))
+    return flat.withColumn("weather_hour_id", weather_hour_id())
+
+
+def weather_hour_id() -> Column:
+    """The key of an hourly row (FN-11)."""
+    return md5_hex(location_key("lat", "lon", "time_epoch"))
 
 
 def dedup_hours(flat: DataFrame) -> DataFrame:

@@ -1,10 +1,12 @@
 """STR-3 and STR-4: newest hour per location and time, and the daily mart, as
 stateful streams.
 
-*Hours* (``start_hours``): a keyed aggregate keeps, in the state store, the
-greatest row of every (lat, lon, time_epoch) under the total order of the
-batch model; update mode hands on the keys a micro-batch touched, which are
-appended to a log below ``hours``.
+*Hours* (``start_hours``): a keyed state keeps the newest row of every (lat,
+lon, time_epoch) under the total order of the batch model; update mode hands
+on the hours whose row a micro-batch replaced, which are appended to a log
+below ``hours``.  Hours of one day are kept by buckets, each a compressed Arrow
+table: an hour takes some tens of bytes of state, and the update function is
+called once per touched bucket.
 
 *Days* (``start_days``): the hours log is itself a stream.  Its rows fall into
 event-time windows of one day; a window's state holds the newest row of each
@@ -28,7 +30,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..plans.weather import HOURLY_COLUMNS, HOURLY_ORDER, dedup_hours, fct_weather_daily, flatten_weather
+from ..functions import NUMERIC, epoch_to_timestamp
+from ..plans.weather import HOURLY_COLUMNS, HOURLY_ORDER, dedup_hours, fct_weather_daily, flatten_weather, weather_hour_id
+from ..session import input_bytes
 from ..sinks.tables import _exists, write_partitioned
 
 # Columns of the order that are ranked from high to low, as values that rise
@@ -54,9 +58,9 @@ def order_text(order=HOURLY_ORDER) -> Column:
 
 
 def newest_hours(flat: DataFrame) -> DataFrame:
-    """The newest row per (lat, lon, time_epoch), as a keyed aggregate that
-    runs on a stream as well as on a table.  State: one row per key, which is
-    its own place in the order, followed by the other columns."""
+    """The newest row per (lat, lon, time_epoch) of a table, as a keyed
+    aggregate of rows that begin with their own place in the order.  (It runs on
+    a stream too, with a state row of over 500 bytes per key.)"""
     reversed_ = {name for name, descending in _ranks() if descending}
     ranked = {name for name, _ in _ranks()}
     whole = flat.select(order_text().alias("place"), F.struct(*(c for c in HOURLY_COLUMNS if c not in ranked)).alias("rest"))
@@ -66,6 +70,76 @@ def newest_hours(flat: DataFrame) -> DataFrame:
     return best.select(*((_REVERSED[c][1](value(c)) if c in reversed_ else value(c)).cast(flat.schema[c].dataType).alias(c) for c in HOURLY_COLUMNS))
 
 
+# Columns that pass through Python as text (pandas has no whole numbers with
+# NULLs): to a whole number or number, back, and the Arrow type they are ranked as.
+_AS_TEXT = {"lat": (lambda c: c, lambda c: c.cast("double"), "string"), "lon": (lambda c: c, lambda c: c.cast("double"), "string"),
+            "time_epoch": (lambda c: c, lambda c: c.cast("bigint"), "int64"),
+            "fetched_at": (F.unix_micros, lambda c: F.timestamp_micros(c.cast("bigint")), "int64"),
+            "temp_c": (lambda c: c, lambda c: c.cast(NUMERIC), "decimal"), "humidity": (lambda c: c, lambda c: c.cast("bigint"), "int64"),
+            "day_date": (F.unix_date, lambda c: F.date_from_unix_date(c.cast("int")), "int32")}
+
+# What tells hours apart, by its text as in the batch model, and the columns
+# of a row in state; the others are worked out from them.
+_HOUR_KEY = ("lat", "lon", "time_epoch")
+_STATE_COLUMNS = [*_HOUR_KEY, *(name for name, _ in _ranks())]
+
+# Buckets that the hours of one day are dealt over by their key, where a stream
+# is started without a number; and the landed bytes that make one, were they all
+# of one day.
+HOUR_BUCKETS = 32
+LEAST_HOUR_BUCKETS = 8
+BUCKET_BYTES = 64 << 20
+
+
+def hour_buckets(spark: SparkSession, landing: str) -> int:
+    """Buckets for the hours of the feed landed so far at ``landing``."""
+    return max(LEAST_HOUR_BUCKETS, -(-input_bytes(spark, landing) // BUCKET_BYTES))
+
+
+def newest_hours_kept(flat: DataFrame, buckets: int = HOUR_BUCKETS) -> DataFrame:
+    """On a stream of flat hours: the rows that became the newest of their
+    (lat, lon, time_epoch) in a micro-batch.  State: of every day and bucket
+    of keys one Arrow table, compressed, of the newest rows.  Every key is in
+    one bucket, so a location or a day with very many hours is spread over
+    buckets and tasks."""
+    ranks, columns = _ranks(), list(_STATE_COLUMNS)
+    kinds = {name: _AS_TEXT[name][2] for name, _ in ranks if name in _AS_TEXT}
+
+    def update(key, frames, state):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        schema = pa.schema([(c, pa.string()) for c in columns])
+        kept = pa.ipc.open_stream(state.get[0]).read_all() if state.exists else schema.empty_table()
+        came = [pa.Table.from_pandas(frame, schema, preserve_index=False) for frame in frames]
+        rows = pa.concat_tables([kept, *came]).combine_chunks()
+        types = {"int32": pa.int32(), "int64": pa.int64(), "decimal": pa.decimal128(38, 9)}
+        # NULL ranks last in both directions; of equal rows the kept one stays.
+        hour = pc.binary_join_element_wise(*(rows[c] for c in columns[:3]), "|", null_handling="replace", null_replacement="~")
+        order = pa.table({"hour": hour, **{c: rows[c].cast(types[kinds[c]]) if c in kinds else rows[c] for c, _ in ranks},
+                          "at": pa.array(range(len(rows)), pa.int64())})
+        by = [("hour", "ascending"), *((c, "descending" if down else "ascending") for c, down in ranks), ("at", "ascending")]
+        ranked = pc.sort_indices(order, sort_keys=by, null_placement="at_end")
+        hours = hour.take(ranked)
+        first = pa.concat_arrays([pa.array([True]), *pc.not_equal(hours[1:], hours[:-1]).chunks])
+        best = ranked.filter(first)
+        new = best.filter(pc.greater_equal(best, len(kept)))
+        if len(new):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(rows.take(best).combine_chunks())
+            state.update((sink.getvalue().to_pybytes(),))
+            for some in rows.take(new).to_batches(max_chunksize=10_000):
+                yield some.to_pandas()
+
+    text = lambda c: (_AS_TEXT[c][0](F.col(c)) if c in _AS_TEXT else F.col(c)).cast("string").alias(c)
+    rows = flat.select(F.unix_date(F.to_date("observed_at")).alias("day"), *(text(c) for c in columns))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*_HOUR_KEY), F.lit(buckets)))
+    found = rows.groupBy("day", "bucket").applyInPandasWithState(
+        update, ", ".join(f"{c} string" for c in columns), "hours binary", "update", GroupStateTimeout.NoTimeout)
+    found = found.select(*(_AS_TEXT[c][1](F.col(c)).alias(c) if c in _AS_TEXT else c for c in columns))
+    return found.withColumns({"observed_at": epoch_to_timestamp(F.col("time_epoch")), "weather_hour_id": weather_hour_id()}).select(*HOURLY_COLUMNS)
+
+
 def _append_once(rows: DataFrame, path: str, cluster: tuple) -> None:
     """Append a micro-batch's rows; they are kept meanwhile, since the range
     partitioning looks at them first (lost blocks are worked out again)."""
@@ -111,9 +185,11 @@ class NewestHours:
         out = batch.select(*HOURLY_COLUMNS).withColumn("day_utc", F.to_date("observed_at"))
         _append_once(out, self.hours_log, ("lat", "lon"))
 
-    def start_hours(self, envelopes: DataFrame, checkpoint: str, available_now: bool = True):
-        """STR-3 on a stream of envelopes."""
-        newest = newest_hours(flatten_weather(envelopes.select("raw_json", "source_url", "fetched_at")))
+    def start_hours(self, envelopes: DataFrame, checkpoint: str, available_now: bool = True, buckets: int = HOUR_BUCKETS):
+        """STR-3 on a stream of envelopes; ``buckets`` (``hour_buckets``) holds
+        for a checkpoint from its first start on."""
+        chosen = self._buckets(checkpoint, lambda: self.spark.range(1).select(F.lit(buckets).cast("int").alias("buckets")))
+        newest = newest_hours_kept(flatten_weather(envelopes.select("raw_json", "source_url", "fetched_at")), chosen)
         w = newest.writeStream.outputMode("update").foreachBatch(self.append_hours).option("checkpointLocation", checkpoint)
         return (w.trigger(availableNow=True) if available_now else w).start()
 
@@ -183,18 +259,21 @@ class NewestHours:
         out = fct_weather_daily(batch.withColumn("emitted_at", F.current_timestamp()), PROGRESS)
         _append_once(out, self.days_log, ("city",))
 
-    def _buckets(self, checkpoint: str) -> int:
-        """The buckets of the days stream at ``checkpoint``: chosen at its first
-        start by the locations the hours log has on its fullest day, and kept
-        beside the state, which is keyed by them."""
+    def _buckets(self, checkpoint: str, choose) -> int:
+        """The buckets of the stream at ``checkpoint``: chosen at its first
+        start and kept beside the state, which is keyed by them."""
         path = f"{checkpoint}/buckets"
         if not _exists(self.spark, f"{path}/_SUCCESS"):
-            log = self._log(self.hours_log, self._hours).where(F.col("day_utc").isNotNull())
-            locations = log.groupBy("day_utc").agg(F.approx_count_distinct(F.struct("lat", "lon")).alias("n")).agg(F.max("n").alias("n"))
-            chosen = locations.select(F.greatest(F.ceil(F.col("n") / BUCKET_WINDOWS), F.lit(LEAST_BUCKETS)).cast("int").alias("buckets"))
-            chosen.write.mode("overwrite").parquet(path)
+            choose().write.mode("overwrite").parquet(path)
         return self.spark.read.schema("buckets int").parquet(path).first()[0]
 
+    def _day_buckets(self) -> DataFrame:
+        """Buckets for a days stream, by the locations the hours log has on its
+        fullest day."""
+        log = self._log(self.hours_log, self._hours).where(F.col("day_utc").isNotNull())
+        locations = log.groupBy("day_utc").agg(F.approx_count_distinct(F.struct("lat", "lon")).alias("n")).agg(F.max("n").alias("n"))
+        return locations.select(F.greatest(F.ceil(F.col("n") / BUCKET_WINDOWS), F.lit(LEAST_BUCKETS)).cast("int").alias("buckets"))
+
     def start_days(self, checkpoint: str, lateness: str | None = None, available_now: bool = True):
         """STR-4 on the hours log.  Without ``lateness`` windows stay open for
         ever and no late hour is lost.  With it (e.g. '30 days') the state of
@@ -202,7 +281,7 @@ class NewestHours:
         the hours log only, and ``rebuild_days`` brings them in."""
         self.spark.createDataFrame([], self._hours.schema).write.mode("append").partitionBy("day_utc").parquet(self.hours_log)
         hours = self.spark.readStream.schema(self._hours.schema).parquet(self.hours_log)
-        w = (self.windows(hours, lateness, self._buckets(checkpoint)).writeStream.outputMode("update").foreachBatch(self.append_days)
+        w = (self.windows(hours, lateness, self._buckets(checkpoint, self._day_buckets)).writeStream.outputMode("update").foreachBatch(self.append_days)
              .option("checkpointLocation", checkpoint))
         return (w.trigger(availableNow=True) if available_now else w).start()
 
